@@ -21,15 +21,34 @@ def jdbc_safe(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
+# Text that can possibly parse as a number. Spark's string-to-integer cast
+# takes optional control/space padding, a sign and digits; the fractional
+# pattern is a loose superset of what the double cast takes (decimal, hex,
+# exponent, NaN, Infinity, d/f suffix).
+_PAD = "[\\x00-\\x20]*"
+INTEGRAL_TEXT = f"^{_PAD}[+-]?[0-9]+{_PAD}$"
+FRACTIONAL_TEXT = (f"(?i)^{_PAD}[+-]?(nan|inf(inity)?|[0-9a-fx.]+([pe][+-]?[0-9]+)?[df]?){_PAD}$")
+_INTEGRAL = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
+_FRACTIONAL = {"float", "real", "double"}
+
+
 def lenient_cast(c: Column | str, type_name: str) -> Column:
     """Cast text to ``type_name``; values that do not parse become NULL.
 
     ``try_cast`` rather than ``cast``: with ANSI mode on, a plain cast fails
-    the whole job on the first dirty value.
+    the whole job on the first dirty value. Numeric targets get a regex guard
+    first: a failing ``try_cast`` costs an exception per value (about ten
+    times a successful cast), so text that cannot be a number never reaches
+    it. The guard only removes values the cast would reject anyway.
     """
     col = F.col(c) if isinstance(c, str) else c
-    if type_name.lower() in ("string", "varchar"):
+    t = type_name.lower().strip()
+    if t in ("string", "varchar"):
         return col.cast("string")
+    if t in _INTEGRAL:
+        return F.when(col.rlike(INTEGRAL_TEXT), col.try_cast(type_name))
+    if t in _FRACTIONAL:
+        return F.when(col.rlike(FRACTIONAL_TEXT), col.try_cast(type_name))
     return col.try_cast(type_name)
 
 

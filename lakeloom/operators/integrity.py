@@ -128,7 +128,13 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
         all_targets = target_frames[0]
         for f in target_frames[1:]:
             all_targets = all_targets.unionByName(f)
-        orphans = fact_keys.join(all_targets, ["target", "key"], "left_anti")
+        # left join + IS NULL rather than left_anti: the optimizer would push
+        # an anti join below the fact-side aggregation, joining every fact
+        # row instead of every distinct key once the dimension is too big to
+        # broadcast
+        matched = all_targets.withColumn("__hit", F.lit(True))
+        orphans = (fact_keys.join(matched, ["target", "key"], "left")
+                   .filter(F.col("__hit").isNull()).drop("__hit"))
     else:
         orphans = fact_keys
     per_edge = orphans.groupBy("edge").agg(F.sum("n").alias("orphan_rows"),

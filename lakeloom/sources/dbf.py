@@ -177,11 +177,13 @@ class DbfRange(InputPartition):
 
 
 class DbfReader(DataSourceReader):
-    def __init__(self, options: dict, schema):
-        self.path = options.get("path") or options.get("paths")
-        self.encoding = options.get("encoding", "latin-1")
-        self.partition_bytes = int(options.get("partitionBytes", DEFAULT_PARTITION_BYTES))
-        self.file_name_column = options.get("fileNameColumn")
+    def __init__(self, options, schema):
+        # option names are case-insensitive; look them up lower-cased
+        opts = {k.lower(): v for k, v in options.items()}
+        self.path = opts.get("path") or opts.get("paths")
+        self.encoding = opts.get("encoding", "latin-1")
+        self.partition_bytes = int(opts.get("partitionbytes", DEFAULT_PARTITION_BYTES))
+        self.file_name_column = opts.get("filenamecolumn")
         self.schema = schema
 
     def partitions(self):
@@ -245,7 +247,7 @@ class DbfDataSource(DataSource):
         return ", ".join(cols)
 
     def reader(self, schema):
-        return DbfReader(dict(self.options), schema)
+        return DbfReader(self.options, schema)
 
 
 def register(spark: SparkSession) -> None:
