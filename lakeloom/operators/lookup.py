@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, sized_broadcast
+from lakeloom.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, is_small
 
 
 def lookup_enrich(target: DataFrame, dim: DataFrame, target_key: Column, dim_key: Column,
@@ -20,10 +20,13 @@ def lookup_enrich(target: DataFrame, dim: DataFrame, target_key: Column, dim_key
     broadcast when it is proven small; otherwise both sides shuffle on the
     key.
     """
-    reduced = (dim.select(dim_key.alias("__lk_key"), value.alias("__lk_val"))
-               .filter(F.col("__lk_key").isNotNull())
-               .groupBy("__lk_key").agg(F.min("__lk_val").alias(out_col)))
-    reduced = sized_broadcast(reduced, broadcast_max_rows)
+    pairs = (dim.select(dim_key.alias("__lk_key"), value.alias("__lk_val"))
+             .filter(F.col("__lk_key").isNotNull()))
+    reduced = pairs.groupBy("__lk_key").agg(F.min("__lk_val").alias(out_col))
+    # probe the projected scan (it stops early), not the aggregate: the
+    # reduced dimension has at most as many rows
+    if broadcast_max_rows is not None and is_small(pairs, broadcast_max_rows):
+        reduced = F.broadcast(reduced)
     keyed = target.select(*[F.col(f"`{c}`") for c in target.columns if c != out_col],
                           target_key.alias("__lk_tkey"))
     joined = keyed.join(reduced, keyed["__lk_tkey"] == reduced["__lk_key"], "left")

@@ -108,26 +108,36 @@ def skip_landed(expected: DataFrame, landed_raw_names: DataFrame) -> DataFrame:
     return expected.join(landed_raw_names.select("file_name"), "file_name", "left_anti")
 
 
+RANK_IGNORED, RANK_EXISTS, RANK_SUCCESS = 1, 2, 3
+
+
+def coverage_status_ranked(grid: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Status of each expected file from ``ranked`` = ``(file_name, rank)``
+    with one row per file name, rank 1 = ignored, 2 = exists, 3 = success
+    (smallest wins); files without a row are ``error``. One join; the
+    grid's row count is unchanged."""
+    status = (F.when(F.col("__k") == RANK_IGNORED, F.lit(STATUS_IGNORED))
+              .when(F.col("__k") == RANK_EXISTS, F.lit(STATUS_EXISTS))
+              .when(F.col("__k") == RANK_SUCCESS, F.lit(STATUS_SUCCESS))
+              .otherwise(F.lit(STATUS_ERROR)))
+    return (grid.join(ranked.select("file_name", F.col("rank").alias("__k")), "file_name", "left")
+            .select(*grid.columns, status.alias("status")))
+
+
 def coverage_status(grid: DataFrame, ignored: DataFrame, staged: DataFrame,
                     arrived: DataFrame) -> DataFrame:
     """Status of each expected file, first that applies:
     ``ignored`` (in the skip list), ``exists`` (already staged), ``success``
     (arrived in this batch), ``error`` (expected but absent).
 
-    Each set is a one-column frame of file names, de-duplicated before the
-    join so the grid's row count is unchanged.
+    Each set is a one-column frame of file names. The three sets are tagged
+    with their rank, unioned and folded to the best rank per file name (one
+    aggregation, partial before the shuffle), then joined to the grid once.
     """
-    def flag(df: DataFrame, name: str) -> DataFrame:
-        return df.select("file_name").distinct().withColumn(name, F.lit(True))
-
-    out = (grid.join(flag(ignored, "__ig"), "file_name", "left")
-           .join(flag(staged, "__ex"), "file_name", "left")
-           .join(flag(arrived, "__ok"), "file_name", "left"))
-    status = (F.when(F.col("__ig"), F.lit(STATUS_IGNORED))
-              .when(F.col("__ex"), F.lit(STATUS_EXISTS))
-              .when(F.col("__ok"), F.lit(STATUS_SUCCESS))
-              .otherwise(F.lit(STATUS_ERROR)))
-    return out.select(*grid.columns, status.alias("status"))
+    tagged = (ignored.select("file_name", F.lit(RANK_IGNORED).alias("rank"))
+              .unionByName(staged.select("file_name", F.lit(RANK_EXISTS).alias("rank")))
+              .unionByName(arrived.select("file_name", F.lit(RANK_SUCCESS).alias("rank"))))
+    return coverage_status_ranked(grid, tagged.groupBy("file_name").agg(F.min("rank").alias("rank")))
 
 
 def any_new_data(status: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.functions.text import parse_state_list
 from lakeloom.operators.integrity import fk_report, pk_report
 from lakeloom.operators.lookup import lookup_enrich
-from lakeloom.operators.manifest import (any_new_data, coverage_status, landed_as_raw,
+from lakeloom.operators.manifest import (RANK_EXISTS, RANK_IGNORED, RANK_SUCCESS, any_new_data,
+                                         coverage_status_ranked, landed_as_raw,
                                          period_state_grid_from, skip_landed)
 from lakeloom.operators.star import StarEdge, star_join
 from lakeloom.plans.loads import load_fact, municipality_dimension
@@ -213,16 +214,19 @@ def inferred_csv(spark: SparkSession, sf: str) -> DataFrame:
 def manifest_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Expected files for every month the orders span, for every region.
 
-    The period comes from the orders (two scalar subqueries), the state
-    list from a messy comma text built from the region names.
+    The period comes from one aggregation over the orders; the state list
+    from a messy comma text built from the region names (a scalar subquery
+    over the small region table).
     """
-    o = table(spark, sf, "orders")
-    first = o.select(F.trunc(F.min("o_orderdate").cast("date"), "month")).scalar()
-    last = o.select(F.trunc(F.max("o_orderdate").cast("date"), "month")).scalar()
-    regions = table(spark, sf, "region").agg(
+    states_text = table(spark, sf, "region").select(
         F.concat(F.array_join(F.sort_array(F.collect_list(F.lower("r_name"))), " , "),
-                 F.lit(", ,")).alias("states_text"))
-    return period_state_grid_from(regions, first, last, parse_state_list("states_text"))
+                 F.lit(", ,"))).scalar()
+    period = table(spark, sf, "orders").agg(
+        F.trunc(F.min("o_orderdate").cast("date"), "month").alias("first"),
+        F.trunc(F.max("o_orderdate").cast("date"), "month").alias("last")
+    ).select("first", "last", states_text.alias("states_text"))
+    return period_state_grid_from(period, F.col("first"), F.col("last"),
+                                  parse_state_list("states_text"))
 
 
 def _landed_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,17 +243,21 @@ def skip_landed_query(spark: SparkSession, sf: str) -> DataFrame:
     return skip_landed(manifest_grid(spark, sf), landed_as_raw(_landed_names(spark, sf)))
 
 
-def _status_sets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    names = _order_file_names(spark, sf, "region")
-    dbc = F.concat("stem", F.lit(".dbc")).alias("file_name")
-    ignored = names.filter(F.col("o_orderpriority") == "1-URGENT").select(dbc)
-    staged = names.filter(F.col("o_orderstatus") == "F").select(dbc)
-    arrived = names.filter(F.col("o_orderstatus") == "O").select(dbc)
-    return ignored, staged, arrived
+def _status_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """Best status rank per raw file: skip list (urgent orders) before
+    staged (finished) before arrived (open). The order-to-region join runs
+    once and is folded to one row per file name."""
+    rank = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(RANK_IGNORED))
+            .when(F.col("o_orderstatus") == "F", F.lit(RANK_EXISTS))
+            .when(F.col("o_orderstatus") == "O", F.lit(RANK_SUCCESS)))
+    return (_order_file_names(spark, sf, "region")
+            .select(F.concat("stem", F.lit(".dbc")).alias("file_name"), rank.alias("rank"))
+            .filter(F.col("rank").isNotNull())
+            .groupBy("file_name").agg(F.min("rank").alias("rank")))
 
 
 def coverage_status_query(spark: SparkSession, sf: str) -> DataFrame:
-    return coverage_status(manifest_grid(spark, sf), *_status_sets(spark, sf))
+    return coverage_status_ranked(manifest_grid(spark, sf), _status_ranks(spark, sf))
 
 
 def coverage_summary(spark: SparkSession, sf: str) -> DataFrame:
