@@ -33,7 +33,8 @@ from lakeloom.sinks.targets import Target, create_if_absent, publish_zone, write
 from lakeloom.sources.catalog import read_table, register_external_table
 from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
 from lakeloom.sources.dbf import dbf_fields, encode_dbf, read_dbf
-from lakeloom.sources.fixed_width import LOOKUP_ENCODING, MUNICIPALITY_LAYOUT, read_fixed_width
+from lakeloom.sources.fixed_width import (LOOKUP_ENCODING, MUNICIPALITY_LAYOUT,
+                                          fixed_width_rejects, read_fixed_width)
 from lakeloom.sources.static_dims import STATIC_DIMENSIONS, static_dimension
 from lakeloom.streaming.landing import land_new_files
 
@@ -154,6 +155,11 @@ def strict_int_rows(spark: SparkSession, sf: str) -> DataFrame:
     """As :func:`fixed_width` with invalid integers: a non-numeric id
     (negative balance) or a code with a thousands comma (automobile
     segment) rejects the line; signs and leading zeros are accepted."""
+    path = _strict_int_fixture(spark, sf)
+    return read_fixed_width(spark, path, MUNICIPALITY_LAYOUT, encoding=LOOKUP_ENCODING)
+
+
+def _strict_int_fixture(spark: SparkSession, sf: str) -> str:
     c = table(spark, sf, "customer")
     key = F.col("c_custkey").cast("string")
     nat = F.col("c_nationkey").cast("string")
@@ -162,8 +168,13 @@ def strict_int_rows(spark: SparkSession, sf: str) -> DataFrame:
            .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("+"), nat))
            .when(F.col("c_mktsegment") == "FURNITURE", F.lpad(nat, 6, "0"))
            .otherwise(nat))
-    path = _write_lines(spark, _customer_lines(c, id_text, cod), "strict-int")
-    return read_fixed_width(spark, path, MUNICIPALITY_LAYOUT, encoding=LOOKUP_ENCODING)
+    return _write_lines(spark, _customer_lines(c, id_text, cod), "strict-int")
+
+
+def fixed_width_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit trail of :func:`strict_int_rows`: every rejected line."""
+    path = _strict_int_fixture(spark, sf)
+    return fixed_width_rejects(spark, path, MUNICIPALITY_LAYOUT, encoding=LOOKUP_ENCODING).select("line")
 
 
 # --------------------------------------------------------------------------
@@ -368,6 +379,21 @@ def register_table_query(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name)
 
 
+PARTY_SPEC = [("key", "bigint"), ("name", "string"), ("nationkey", "bigint"), ("acctbal", "double")]
+
+
+def zone_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers published to one zone root, each under its
+    own sub-folder, then read back through the path map with one declared
+    spec."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    paths = publish_zone({"raw/customer/": c, "raw/supplier/": s}, scratch_path(spark, "zone-pub"))
+    parts = [read_declared_csv(spark, path, PARTY_SPEC).withColumn("zone_table", F.lit(sub))
+             for sub, path in paths.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # --------------------------------------------------------------------------
 # DBF
 # --------------------------------------------------------------------------
@@ -385,16 +411,19 @@ def _write_customer_dbf(spark: SparkSession, c: DataFrame, folder: str) -> None:
     c = c.withColumnRenamed("c_nationkey", "c_nation")
 
     def write_files(batches):
-        import uuid
+        from pyspark import TaskContext
 
         from lakeloom import fs as lfs
-        for pdf in batches:
+        # names depend on partition and batch only, so a retried task
+        # overwrites its own files instead of adding copies
+        pid = TaskContext.get().partitionId()
+        for i, pdf in enumerate(batches):
             if pdf.empty:
                 continue
             rows = list(pdf[names].itertuples(index=False, name=None))
             deleted = (pdf["c_acctbal"] < 0).tolist()
             data = encode_dbf(rows, fields, deleted=deleted)
-            fs, p = lfs.resolve(f"{folder}/part-{uuid.uuid4().hex}.dbf")
+            fs, p = lfs.resolve(f"{folder}/part-{pid:05d}-{i:05d}.dbf")
             fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
             with fs.open_output_stream(p) as out:
                 out.write(data)
@@ -407,7 +436,7 @@ def dbf_scan(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "dbf")
     _write_customer_dbf(spark, table(spark, sf, "customer"), folder)
     # small ranges so every file is read by several tasks
-    df = read_dbf(spark, folder, partition_bytes=4096)
+    df = read_dbf(spark, folder, partition_bytes=64 * 1024)
     return df.withColumnRenamed("c_nation", "c_nationkey")
 
 
@@ -438,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "municipality_dim": municipality_dim,
     "fixed_width": fixed_width,
     "strict_int_rows": strict_int_rows,
+    "fixed_width_rejects": fixed_width_rejects_query,
     "lenient_cast": lenient_cast,
     "declared_csv": declared_csv,
     "inferred_csv": inferred_csv,
@@ -453,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "fact_load": fact_load,
     "create_if_absent": create_if_absent_query,
     "register_table": register_table_query,
+    "zone_publish": zone_publish,
     "dbf_scan": dbf_scan,
     "stream_landing": stream_landing,
 }
@@ -574,6 +605,19 @@ ORACLE_SQL: dict[str, str] = {
     "strict_int_rows": f"""
   SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS cod_ibge, {_customer_name_sql()} AS municipio
   FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE'""",
+    "fixed_width_rejects": """
+  SELECT lpad(CASE WHEN c_acctbal < 0 THEN 'x' || CAST(c_custkey AS VARCHAR)
+                   ELSE CAST(c_custkey AS VARCHAR) END, 7, ' ')
+         || '  ' ||
+         lpad(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN CAST(c_nationkey AS VARCHAR) || ',000'
+                   WHEN c_mktsegment = 'MACHINERY' THEN '+' || CAST(c_nationkey AS VARCHAR)
+                   WHEN c_mktsegment = 'FURNITURE' THEN lpad(CAST(c_nationkey AS VARCHAR), 6, '0')
+                   ELSE CAST(c_nationkey AS VARCHAR) END, 6, ' ')
+         || ' ' ||
+         rpad(CASE WHEN c_mktsegment = 'BUILDING' THEN ' ' ELSE '' END || c_name || ', ' || c_mktsegment,
+              43, ' ')
+         || e'   \t' AS line
+  FROM customer WHERE c_acctbal < 0 OR c_mktsegment = 'AUTOMOBILE'""",
     "lenient_cast": """
   SELECT event_id, user_id, CAST(NULL AS BIGINT) AS event_type, value,
          TRY_CAST(props AS BIGINT) AS props
@@ -630,6 +674,11 @@ ORACLE_SQL: dict[str, str] = {
   SELECT c_custkey, c_name, c_acctbal FROM customer""",
     "register_table": """
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""",
+    "zone_publish": """
+  SELECT c_custkey AS key, c_name AS name, CAST(c_nationkey AS BIGINT) AS nationkey,
+         c_acctbal AS acctbal, 'raw/customer/' AS zone_table FROM customer
+  UNION ALL
+  SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT), s_acctbal, 'raw/supplier/' FROM supplier""",
     "dbf_scan": """
   SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal
   FROM customer WHERE c_acctbal >= 0""",

@@ -66,10 +66,10 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``lakeloom`` importable in Python workers (Python data sources
     and pandas functions run there).
 
-    On a cluster the package normally travels with ``--py-files``; this
-    helper zips the installed package into the shared work folder once per
-    application and adds it with ``addPyFile`` for sessions started without
-    it.
+    On a cluster the package travels with ``--py-files`` and this helper
+    does nothing. With a local work folder (local mode, tests) it zips the
+    package into that folder once per application and adds it with
+    ``addPyFile``.
     """
     import os
     import zipfile
@@ -81,7 +81,8 @@ def ship_package(spark: SparkSession) -> None:
     work = ensure_work_dir(spark)
     local = work[len("file:"):] if work.startswith("file:") else work
     if "://" in local:
-        local = tempfile.mkdtemp(prefix="lakeloom-pkg-")
+        return  # a cluster work folder: the package ships with --py-files
+    local = os.path.join(local, "lakeloom-pkg")
     os.makedirs(local, exist_ok=True)
     archive = os.path.join(local, f"lakeloom-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:

@@ -23,7 +23,7 @@ class Target:
     fmt: str = "parquet"           # file format for "path" / "table"
     options: dict = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
-    max_files: int | None = None   # coalesce to at most this many write tasks
+    max_files: int | None = None   # rebalance to about this many output files
 
     @staticmethod
     def path(location: str, fmt: str = "parquet", **kw) -> "Target":
@@ -65,8 +65,16 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 def _writer(df: DataFrame, t: Target, mode: str) -> DataFrameWriter:
     if t.kind == "jdbc":
         df = jdbc_safe(df)
+        # Spark would coalesce to numPartitions, which also shrinks the
+        # upstream scan to that many tasks; a shuffle keeps the scan wide and
+        # caps only the number of concurrent database connections.
+        cap = int(t.options.get("numPartitions", 0) or 0)
+        if cap and df.rdd.getNumPartitions() > cap:
+            df = df.repartition(cap)
     elif t.max_files:
-        df = df.coalesce(t.max_files)
+        # AQE rebalances to about this many evenly sized output files
+        # without collapsing the upstream stage
+        df = df.hint("rebalance", t.max_files)
     w = df.write.mode(mode).format(t.fmt)
     if t.kind != "jdbc" and t.fmt == "csv":
         w = w.option("header", True).option("encoding", "UTF-8").option("escape", '"')

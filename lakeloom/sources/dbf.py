@@ -187,9 +187,15 @@ class DbfReader(DataSourceReader):
         self.schema = schema
 
     def partitions(self):
+        from concurrent.futures import ThreadPoolExecutor
+
+        files = lfs.list_files(self.path, (".dbf",))
+        # headers are tiny; read them concurrently (object stores have high
+        # per-request latency)
+        with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+            headers = list(pool.map(read_header, files))
         parts = []
-        for uri in lfs.list_files(self.path, (".dbf",)):
-            h = read_header(uri)
+        for uri, h in zip(files, headers):
             per = max(1, self.partition_bytes // max(h.record_len, 1))
             for first in range(0, h.n_records, per):
                 parts.append(DbfRange(uri, first, min(per, h.n_records - first)))
