@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,13 @@ FK_REPORT_SCHEMA = T.StructType([
 ])
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _is_integral(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, _INTEGRAL)
+
+
 def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
               dims: Mapping[str, DataFrame]) -> DataFrame:
     """One report row per edge ``(fact column, dimension, dimension key)``.
@@ -89,38 +96,47 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
     ``(edge, key)`` pair per edge and a partial aggregation right after the
     scan collapses them to distinct keys per partition, so the shuffle moves
     distinct keys, not rows, and a hot key costs one row per partition. The
-    distinct keys are then anti-joined with the union of the dimension keys
-    on ``(dimension, key)``. Keys compare as text so integer codes can meet
-    text keys.
+    distinct keys are then matched against the union of the dimension keys
+    on ``(dimension, key)``. Integer keys on both sides compare as integers
+    (``lkey``); any other pairing compares as text (``skey``), so an integer
+    code can meet a text key.
     """
-    spark: SparkSession = fact.sparkSession
     edges = list(edges)
-    dim_keys_of = sorted({(d, k) for _, d, k in edges})
-    target_index = {dk: i for i, dk in enumerate(dim_keys_of)}
+    modes = []
+    for fk, d, k in edges:
+        integral = _is_integral(fact, fk) and (d not in dims or _is_integral(dims[d], k))
+        modes.append("long" if integral else "text")
+    targets = sorted({(d, k, m) for (_, d, k), m in zip(edges, modes)})
+    target_index = {t: i for i, t in enumerate(targets)}
+
+    def key_cols(c, mode):
+        if mode == "long":
+            return c.cast("bigint").alias("lkey"), F.lit(None).cast("string").alias("skey")
+        return F.lit(None).cast("bigint").alias("lkey"), c.cast("string").alias("skey")
 
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("edge"), F.lit(target_index[(d, k)]).alias("target"),
-                 F.col(f"`{fk}`").cast("string").alias("key"))
-        for i, (fk, d, k) in enumerate(edges)
+        F.struct(F.lit(i).alias("edge"), F.lit(target_index[(d, k, m)]).alias("target"),
+                 *key_cols(F.col(f"`{fk}`"), m))
+        for i, ((fk, d, k), m) in enumerate(zip(edges, modes))
     ])).alias("p")
     fact_keys = (fact.select(pairs).select("p.*")
-                 .filter(F.col("key").isNotNull())
-                 .groupBy("edge", "target", "key").agg(F.count(F.lit(1)).alias("n")))
+                 .filter(F.col("lkey").isNotNull() | F.col("skey").isNotNull())
+                 .groupBy("edge", "target", "lkey", "skey").agg(F.count(F.lit(1)).alias("n")))
 
     target_frames = []
     unique_frames = []
-    for (d, k), t in target_index.items():
+    for (d, k, m), t in target_index.items():
         if d not in dims:
             continue
-        col = F.col(f"`{k}`")
-        keys = dims[d].select(col.cast("string").alias("key"))
+        lkey, skey = key_cols(F.col(f"`{k}`"), m)
+        keys = dims[d].select(lkey, skey)
+        present = F.col("lkey").isNotNull() | F.col("skey").isNotNull()
         # one aggregation per dimension key feeds both the key set and the
         # uniqueness flag (the exchange is reused)
-        per_key = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        target_frames.append(per_key.filter(F.col("key").isNotNull())
-                             .select(F.lit(t).alias("target"), "key"))
-        unique = ((F.coalesce(F.max(F.when(F.col("key").isNotNull(), F.col("c"))), F.lit(0)) <= 1)
-                  & (F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("c"))), F.lit(0)) == 0))
+        per_key = keys.groupBy("lkey", "skey").agg(F.count(F.lit(1)).alias("c"))
+        target_frames.append(per_key.filter(present).select(F.lit(t).alias("target"), "lkey", "skey"))
+        unique = ((F.coalesce(F.max(F.when(present, F.col("c"))), F.lit(0)) <= 1)
+                  & (F.coalesce(F.sum(F.when(~present, F.col("c"))), F.lit(0)) == 0))
         unique_frames.append(per_key.agg(unique.alias("target_unique"))
                              .select(F.lit(t).alias("target"), "target_unique"))
 
@@ -131,19 +147,23 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
         # left join + IS NULL rather than left_anti: the optimizer would push
         # an anti join below the fact-side aggregation, joining every fact
         # row instead of every distinct key once the dimension is too big to
-        # broadcast
-        matched = all_targets.withColumn("__hit", F.lit(True))
-        orphans = (fact_keys.join(matched, ["target", "key"], "left")
-                   .filter(F.col("__hit").isNull()).drop("__hit"))
+        # broadcast. Null-safe key equality keeps it an equi-join.
+        m = all_targets.select(F.col("target").alias("m_target"), F.col("lkey").alias("m_lkey"),
+                               F.col("skey").alias("m_skey"), F.lit(True).alias("__hit"))
+        cond = ((fact_keys["target"] == m["m_target"]) & fact_keys["lkey"].eqNullSafe(m["m_lkey"])
+                & fact_keys["skey"].eqNullSafe(m["m_skey"]))
+        orphans = fact_keys.join(m, cond, "left").filter(F.col("__hit").isNull())
     else:
         orphans = fact_keys
     per_edge = orphans.groupBy("edge").agg(F.sum("n").alias("orphan_rows"),
                                            F.count(F.lit(1)).alias("orphan_keys"))
 
-    edge_rows = [(i, t, fk, d, k) for i, (fk, d, k) in enumerate(edges)
-                 for t in [target_index[(d, k)]]]
-    edge_df = spark.createDataFrame(
-        edge_rows, "edge int, target int, fk_column string, dim_table string, dim_key string")
+    # the edge list as a JVM-side literal table (no Python round trip)
+    edge_df = fact.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("edge"), F.lit(target_index[(d, k, m)]).alias("target"),
+                 F.lit(fk).alias("fk_column"), F.lit(d).alias("dim_table"), F.lit(k).alias("dim_key"))
+        for i, ((fk, d, k), m) in enumerate(zip(edges, modes))
+    ])))
     report = edge_df.join(per_edge, "edge", "left")
     if unique_frames:
         uniq = unique_frames[0]

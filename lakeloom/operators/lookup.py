@@ -16,9 +16,10 @@ def lookup_enrich(target: DataFrame, dim: DataFrame, target_key: Column, dim_key
 
     The dimension is first reduced to one value per key (the smallest, where
     an UPDATE ... FROM would pick an arbitrary match), so a duplicated
-    dimension key cannot multiply target rows. The reduced dimension is
-    broadcast when it is proven small; otherwise both sides shuffle on the
-    key.
+    dimension key cannot multiply target rows. By default Spark's size
+    checks pick the join (AQE broadcasts the reduced dimension once its
+    measured size is small); ``broadcast_max_rows`` forces a broadcast
+    behind an explicit row-count check.
     """
     pairs = (dim.select(dim_key.alias("__lk_key"), value.alias("__lk_val"))
              .filter(F.col("__lk_key").isNotNull()))

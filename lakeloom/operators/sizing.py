@@ -1,22 +1,28 @@
-"""Broadcast only what is proven small."""
+"""Broadcast only what is proven small.
+
+By default the library adds no broadcast hint: Spark's own size check
+decides -- the planner's estimate (``spark.sql.autoBroadcastJoinThreshold``)
+and, once a shuffle has run, AQE's measured size of the shuffled side
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), which turns a planned
+sort-merge join into a broadcast join only when the bytes are really small.
+Callers who know a side is a bounded lookup list can ask for an explicit
+row-count check instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of up to this many rows is broadcast; beyond it the join is
-# left to the planner (shuffle join, or AQE's run-time broadcast switch when
-# the shuffled side turns out small).
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# None: leave the choice to the planner and AQE (measured sizes).
+DEFAULT_BROADCAST_MAX_ROWS: int | None = None
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    A bounded probe: ``limit(max_rows + 1)`` stops reading once the bound is
-    passed, so the check costs at most ``max_rows + 1`` rows however large
-    the input is.
+    Each partition stops reading after ``max_rows + 1`` rows, so use it on
+    lookup-sized inputs; on a large table it can read most of the input.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 

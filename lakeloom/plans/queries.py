@@ -15,6 +15,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.functions.coerce import apply_spec, jdbc_safe
 from lakeloom.functions.files import extension_is
@@ -41,8 +42,19 @@ from lakeloom.streaming.landing import land_new_files
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is inferred from the parquet footers on
+    the first read and supplied on later reads (no second inference)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 # --------------------------------------------------------------------------
@@ -67,8 +79,11 @@ def _order_file_names(spark: SparkSession, sf: str, level: str = "nation") -> Da
         place = F.upper(F.trim("r_name"))
     else:
         place = F.upper("n_name")
+    # format the calendar date, not a timestamp: independent of the session
+    # time zone
+    yymm = F.date_format(F.col("o_orderdate").cast("date"), "yyMM")
     return j.select("o_orderkey", "o_orderstatus", "o_orderpriority",
-                    F.concat(F.lit("RD"), place, F.date_format("o_orderdate", "yyMM")).alias("stem"))
+                    F.concat(F.lit("RD"), place, yymm).alias("stem"))
 
 
 def filename_attrs(spark: SparkSession, sf: str) -> DataFrame:

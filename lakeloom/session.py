@@ -52,11 +52,20 @@ def ensure_work_dir(spark: SparkSession) -> str:
     if not configured:
         configured = tempfile.mkdtemp(prefix="lakeloom-work-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the work folder for one run."""
     return f"{ensure_work_dir(spark)}/lakeloom/{name}-{uuid.uuid4().hex[:12]}"
@@ -91,5 +100,9 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    spark.sparkContext.addPyFile(archive)
+    sc = _context(spark)
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
     spark.conf.set(flag, "true")

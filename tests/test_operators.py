@@ -123,3 +123,11 @@ def test_fk_report_constructed_orphans(spark):
     assert (d.orphan_rows, d.orphan_keys, d.target_unique, d.ok) == (1, 1, True, False)
     m = rep["sexo/dim_missing"]
     assert (m.orphan_rows, m.orphan_keys, m.target_unique) == (4, 3, None)
+
+
+def test_fk_report_integer_code_against_text_key(spark):
+    fact = spark.createDataFrame([(110001,), (110002,), (1,)], "uf_zi bigint")
+    dim = spark.createDataFrame([("110001",), ("01",)], "cod_ibge string")
+    r = fk_report(fact, [("uf_zi", "dim_m", "cod_ibge")], {"dim_m": dim}).first()
+    # compared as text: 110002 and 1 ("1" is not "01") are orphans
+    assert (r.orphan_rows, r.orphan_keys, r.target_unique) == (2, 2, True)
