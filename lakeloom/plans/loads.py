@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.coerce import jdbc_safe, typed_nulls
 from lakeloom.functions.keys import key_prefix, normalised_key
-from lakeloom.functions.provenance import with_source_file
+from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.operators.guard import has_rows
 from lakeloom.operators.integrity import fk_report, pk_check
 from lakeloom.operators.lookup import lookup_enrich
@@ -90,10 +90,19 @@ def load_fact(spark: SparkSession, scan: DataFrame, staging: Target, fact: Targe
     full-refresh publish as staging and fact, then the foreign-key report.
 
     ``scan`` must be a file scan (the source-file column is taken before
-    any shuffle). Returns the foreign-key report of the published fact, or
-    an empty report when there was nothing to load.
+    any shuffle). When a target is partitioned by ``uf`` / ``ano`` / ``mes``
+    those columns are derived from the file name. Returns the foreign-key
+    report of the published fact, or an empty report when there was nothing
+    to load.
     """
     tagged = with_source_file(scan, source_col)
+    # a target partitioned by state / year / month gets those columns from
+    # the file name, so readers prune by period and state
+    wanted = [c for c in ("uf", "ano", "mes")
+              if c in set(staging.partition_by) | set(fact.partition_by) and c not in tagged.columns]
+    if wanted:
+        attrs = file_name_attrs(source_col)
+        tagged = tagged.select("*", *[attrs[c].alias(c) for c in wanted])
     if not has_rows(tagged):
         return fk_report(tagged.limit(0), edges, dims)
     published = dual_publish(spark, jdbc_safe(tagged), staging, fact)

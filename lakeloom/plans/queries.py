@@ -35,7 +35,8 @@ from lakeloom.sources.catalog import read_table, register_external_table
 from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
 from lakeloom.sources.dbf import dbf_fields, encode_dbf, read_dbf
 from lakeloom.sources.fixed_width import (LOOKUP_ENCODING, MUNICIPALITY_LAYOUT,
-                                          fixed_width_rejects, read_fixed_width)
+                                          fixed_width_file_report, fixed_width_rejects,
+                                          read_fixed_width)
 from lakeloom.sources.static_dims import STATIC_DIMENSIONS, static_dimension
 from lakeloom.streaming.landing import land_new_files
 
@@ -192,6 +193,15 @@ def fixed_width_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
     return fixed_width_rejects(spark, path, MUNICIPALITY_LAYOUT, encoding=LOOKUP_ENCODING).select("line")
 
 
+def fixed_width_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-file counts of the strict-int fixture, folded over its files
+    (Spark names the part files): lines, kept, rejected, blank."""
+    path = _strict_int_fixture(spark, sf)
+    per_file = fixed_width_file_report(spark, path, MUNICIPALITY_LAYOUT, encoding=LOOKUP_ENCODING)
+    return per_file.agg(*[F.sum(c).cast("bigint").alias(c)
+                          for c in ("lines", "kept", "rejected", "blank")])
+
+
 # --------------------------------------------------------------------------
 # CSV scans and lenient typing
 # --------------------------------------------------------------------------
@@ -483,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "fixed_width": fixed_width,
     "strict_int_rows": strict_int_rows,
     "fixed_width_rejects": fixed_width_rejects_query,
+    "fixed_width_audit": fixed_width_audit,
     "lenient_cast": lenient_cast,
     "declared_csv": declared_csv,
     "inferred_csv": inferred_csv,
@@ -633,6 +644,12 @@ ORACLE_SQL: dict[str, str] = {
               43, ' ')
          || e'   \t' AS line
   FROM customer WHERE c_acctbal < 0 OR c_mktsegment = 'AUTOMOBILE'""",
+    "fixed_width_audit": """
+  SELECT count(*) AS lines,
+         count(CASE WHEN c_acctbal >= 0 AND c_mktsegment <> 'AUTOMOBILE' THEN 1 END) AS kept,
+         count(CASE WHEN c_acctbal < 0 OR c_mktsegment = 'AUTOMOBILE' THEN 1 END) AS rejected,
+         CAST(0 AS BIGINT) AS blank
+  FROM customer""",
     "lenient_cast": """
   SELECT event_id, user_id, CAST(NULL AS BIGINT) AS event_type, value,
          TRY_CAST(props AS BIGINT) AS props

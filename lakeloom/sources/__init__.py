@@ -4,7 +4,8 @@ from lakeloom.sources.catalog import read_table, register_external_table, table_
 from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
 from lakeloom.sources.files import list_files
 from lakeloom.sources.fixed_width import (MUNICIPALITY_LAYOUT, NATIONALITY_LAYOUT, STATE_LAYOUT,
-                                          FixedField, fixed_width_rejects, nationality_layout,
+                                          FixedField, fixed_width_file_report, fixed_width_rejects,
+                                          nationality_layout,
                                           read_fixed_width)
 from lakeloom.sources.literal import literal_table
 from lakeloom.sources.static_dims import static_codes, static_dimension, static_dimensions
@@ -13,6 +14,6 @@ __all__ = [
     "read_table", "register_external_table", "table_exists",
     "read_declared_csv", "read_inferred_csv", "list_files",
     "MUNICIPALITY_LAYOUT", "NATIONALITY_LAYOUT", "STATE_LAYOUT", "FixedField",
-    "fixed_width_rejects", "nationality_layout", "read_fixed_width",
+    "fixed_width_file_report", "fixed_width_rejects", "nationality_layout", "read_fixed_width",
     "literal_table", "static_codes", "static_dimension", "static_dimensions",
 ]

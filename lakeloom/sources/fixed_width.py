@@ -117,3 +117,19 @@ def fixed_width_rejects(spark: SparkSession, path: str | list[str],
     for rows the scan drops."""
     parsed = _parse(decode_lines(spark, path, encoding, glob), layout)
     return parsed.filter(~F.col("__valid")).select("file_name", "line")
+
+
+def fixed_width_file_report(spark: SparkSession, path: str | list[str],
+                            layout: tuple[FixedField, ...], encoding: str = "UTF-8",
+                            glob: str | None = None) -> DataFrame:
+    """Per input file: lines read, rows kept, lines rejected for a bad
+    integer and all-blank lines dropped. One aggregation (partial before the
+    shuffle) over the parsed lines."""
+    parsed = _parse(decode_lines(spark, path, encoding, glob), layout)
+    valid, blank = F.col("__valid"), F.col("__blank")
+    return parsed.groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(valid & ~blank, 1)).alias("kept"),
+        F.count(F.when(~valid, 1)).alias("rejected"),
+        F.count(F.when(valid & blank, 1)).alias("blank"),
+    )

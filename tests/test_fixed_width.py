@@ -125,3 +125,16 @@ def test_custom_layout_short_fields(spark, tmp):
     write_latin1(p, ["1 abc", "-1xy", "  "])
     rows = sorted((tuple(r) for r in read_fixed_width(spark, p, layout).collect()), key=repr)
     assert rows == brute_force(["1 abc", "-1xy", "  "], layout)
+
+
+def test_file_report(spark, tmp):
+    from lakeloom.sources.fixed_width import fixed_width_file_report
+    d = os.path.join(tmp, "rep")
+    os.makedirs(d)
+    write_latin1(os.path.join(d, "a.cnv"), LINES)
+    write_latin1(os.path.join(d, "b.cnv"), LINES[:2])
+    rep = {r.file_name: (r.lines, r.kept, r.rejected, r.blank)
+           for r in fixed_width_file_report(spark, d, MUNICIPALITY_LAYOUT, "ISO-8859-1").collect()}
+    kept = len(brute_force(LINES, MUNICIPALITY_LAYOUT))
+    assert rep["a.cnv"] == (len(LINES), kept, 3, 1)
+    assert rep["b.cnv"] == (2, 2, 0, 0)

@@ -131,3 +131,35 @@ def test_landing_takes_each_file_once(spark, tmp):
     rows = sorted(((r.a, r.b, r.arquivo_origem) for r in spark.read.parquet(out).collect()), key=repr)
     assert rows == sorted([(1, "x", "RDSP2301.csv"), (None, "y", "RDSP2301.csv"), (3, "z", "RDSP2302.CSV")],
                           key=repr)
+
+
+def test_partitioned_external_table_prunes(spark, tmp):
+    import contextlib
+    import io
+    loc = os.path.join(tmp, "part_tbl")
+    df = spark.createDataFrame([(1, "SP"), (2, "SP"), (3, "RJ")], "id bigint, uf string")
+    write(df, Target.path(loc, "csv", partition_by=("uf",)))
+    t = register_external_table(spark, "lakeloom_test_part", loc, [("id", "bigint"), ("uf", "string")],
+                                partition_by=["uf"])
+    sp = t.filter("uf = 'SP'")
+    assert sorted(r.id for r in sp.collect()) == [1, 2]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        sp.explain()
+    assert "PartitionFilters: [isnotnull(uf" in buf.getvalue()
+
+
+def test_fact_partitioned_by_file_period(spark, tmp):
+    d = os.path.join(tmp, "raw")
+    os.makedirs(d)
+    for name, body in (("RDSP2301.csv", "sexo\n1\n3\n"), ("RDRJ2302.csv", "sexo\n1\n")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(body)
+    scan = spark.read.option("header", True).schema("sexo bigint").csv(d)
+    fat = Target.path(os.path.join(tmp, "fat"), partition_by=("uf", "ano", "mes"))
+    load_fact(spark, scan, Target.path(os.path.join(tmp, "st")), fat,
+              static_dimensions(spark), edges=[("sexo", "dim_sexo", "cod")])
+    assert sorted(os.listdir(os.path.join(tmp, "fat", "uf=SP"))) == ["ano=2023"]
+    back = spark.read.parquet(os.path.join(tmp, "fat"))
+    assert sorted((r.uf, r.ano, r.mes, r.sexo) for r in back.collect()) == \
+        [("RJ", 2023, 2, 1), ("SP", 2023, 1, 1), ("SP", 2023, 1, 3)]
