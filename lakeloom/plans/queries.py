@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.coerce import apply_spec, jdbc_safe
-from lakeloom.functions.files import extension_is
 from lakeloom.functions.keys import key_prefix, normalised_key
 from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.functions.text import parse_state_list
