@@ -123,22 +123,22 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
                  .filter(F.col("lkey").isNotNull() | F.col("skey").isNotNull())
                  .groupBy("edge", "target", "lkey", "skey").agg(F.count(F.lit(1)).alias("n")))
 
+    # per dimension key: (target, lkey, skey, c) with c = rows holding the
+    # key. The same frame feeds the match and the uniqueness flag, so each
+    # dimension is aggregated (and shuffled) once.
     target_frames = []
-    unique_frames = []
     for (d, k, m), t in target_index.items():
         if d not in dims:
             continue
         lkey, skey = key_cols(F.col(f"`{k}`"), m)
-        keys = dims[d].select(lkey, skey)
-        present = F.col("lkey").isNotNull() | F.col("skey").isNotNull()
-        # one aggregation per dimension key feeds both the key set and the
-        # uniqueness flag (the exchange is reused)
-        per_key = keys.groupBy("lkey", "skey").agg(F.count(F.lit(1)).alias("c"))
-        target_frames.append(per_key.filter(present).select(F.lit(t).alias("target"), "lkey", "skey"))
-        unique = ((F.coalesce(F.max(F.when(present, F.col("c"))), F.lit(0)) <= 1)
-                  & (F.coalesce(F.sum(F.when(~present, F.col("c"))), F.lit(0)) == 0))
-        unique_frames.append(per_key.agg(unique.alias("target_unique"))
-                             .select(F.lit(t).alias("target"), "target_unique"))
+        per_key = dims[d].select(lkey, skey).groupBy("lkey", "skey").agg(F.count(F.lit(1)).alias("c"))
+        target_frames.append(per_key.select(F.lit(t).alias("target"), "lkey", "skey", "c"))
+
+    edge_df = fact.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("edge"), F.lit(target_index[(d, k, m)]).alias("target"),
+                 F.lit(fk).alias("fk_column"), F.lit(d).alias("dim_table"), F.lit(k).alias("dim_key"))
+        for i, ((fk, d, k), m) in enumerate(zip(edges, modes))
+    ])))  # the edge list as a JVM-side literal table (no Python round trip)
 
     if target_frames:
         all_targets = target_frames[0]
@@ -147,29 +147,31 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
         # left join + IS NULL rather than left_anti: the optimizer would push
         # an anti join below the fact-side aggregation, joining every fact
         # row instead of every distinct key once the dimension is too big to
-        # broadcast. Null-safe key equality keeps it an equi-join.
-        m = all_targets.select(F.col("target").alias("m_target"), F.col("lkey").alias("m_lkey"),
-                               F.col("skey").alias("m_skey"), F.lit(True).alias("__hit"))
-        cond = ((fact_keys["target"] == m["m_target"]) & fact_keys["lkey"].eqNullSafe(m["m_lkey"])
-                & fact_keys["skey"].eqNullSafe(m["m_skey"]))
-        orphans = fact_keys.join(m, cond, "left").filter(F.col("__hit").isNull())
+        # broadcast. Null-safe key equality keeps it an equi-join; a NULL
+        # dimension key never equals a fact key (fact keys are never NULL).
+        mt = all_targets.select(F.col("target").alias("m_target"), F.col("lkey").alias("m_lkey"),
+                                F.col("skey").alias("m_skey"), F.col("c").alias("m_c"))
+        cond = ((fact_keys["target"] == mt["m_target"]) & fact_keys["lkey"].eqNullSafe(mt["m_lkey"])
+                & fact_keys["skey"].eqNullSafe(mt["m_skey"]))
+        orphans = fact_keys.join(mt, cond, "left").filter(F.col("m_c").isNull())
+        present = F.col("lkey").isNotNull() | F.col("skey").isNotNull()
+        uniq = all_targets.groupBy("target").agg(
+            ((F.coalesce(F.max(F.when(present, F.col("c"))), F.lit(0)) <= 1)
+             & (F.coalesce(F.sum(F.when(~present, F.col("c"))), F.lit(0)) == 0)).alias("target_unique"))
     else:
         orphans = fact_keys
+        uniq = None
     per_edge = orphans.groupBy("edge").agg(F.sum("n").alias("orphan_rows"),
                                            F.count(F.lit(1)).alias("orphan_keys"))
 
-    # the edge list as a JVM-side literal table (no Python round trip)
-    edge_df = fact.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("edge"), F.lit(target_index[(d, k, m)]).alias("target"),
-                 F.lit(fk).alias("fk_column"), F.lit(d).alias("dim_table"), F.lit(k).alias("dim_key"))
-        for i, ((fk, d, k), m) in enumerate(zip(edges, modes))
-    ])))
     report = edge_df.join(per_edge, "edge", "left")
-    if unique_frames:
-        uniq = unique_frames[0]
-        for f in unique_frames[1:]:
-            uniq = uniq.unionByName(f)
+    with_dim = [t for (d, _, _), t in target_index.items() if d in dims]
+    if uniq is not None:
         report = report.join(uniq, "target", "left")
+        # an empty dimension has no key rows: vacuously unique
+        report = report.withColumn(
+            "target_unique",
+            F.when(F.col("target").isin(with_dim), F.coalesce(F.col("target_unique"), F.lit(True))))
     else:
         report = report.withColumn("target_unique", F.lit(None).cast("boolean"))
     zero = F.lit(0).cast("bigint")
