@@ -41,21 +41,33 @@ def build_session(master: str | None = None, app_name: str = "lakeloom",
     return spark
 
 
-def ensure_work_dir(spark: SparkSession) -> str:
-    """Return the shared work folder named by ``spark.checkpoint.dir``.
+_PRIVATE_WORK: dict[str, str] = {}
+
 
-    On a cluster this setting names a folder every executor can reach
-    (HDFS, object store). Only when it is unset -- local tests -- do we
-    create a private temporary folder and register it.
+def ensure_work_dir(spark: SparkSession) -> str:
+    """Return the shared work folder.
+
+    In order: ``spark.checkpoint.dir`` from the session (on a cluster this
+    names a folder every executor can reach -- HDFS, object store), else
+    the checkpoint folder already set on the context. Only when neither
+    exists -- local tests -- a private temporary folder is created and
+    registered as the context's checkpoint folder (the config itself cannot
+    be changed once the session runs).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="lakeloom-work-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc = _context(spark)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    if configured:
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    key = sc.applicationId if sc is not None else "connect"
+    if key not in _PRIVATE_WORK:
+        _PRIVATE_WORK[key] = tempfile.mkdtemp(prefix="lakeloom-work-")
+        if sc is not None:
+            sc.setCheckpointDir(_PRIVATE_WORK[key])
+    return _PRIVATE_WORK[key]
 
 
 def _context(spark: SparkSession):

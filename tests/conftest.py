@@ -20,9 +20,8 @@ def spark():
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakeloom-test-wh-")))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # tests set their own work folder only where the session names none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakeloom-test-ckpt-"))
+    # the work folder comes from spark.checkpoint.dir; only where the session
+    # names none does ensure_work_dir create a private one
     from lakeloom.session import ensure_work_dir, ship_package
     ensure_work_dir(s)
     ship_package(s)
