@@ -19,14 +19,15 @@ import struct
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lakeloom import fs as lfs
 
-DEFAULT_PARTITION_BYTES = 64 * 1024 * 1024
+DEFAULT_PARTITION_BYTES = 128 * 1024 * 1024
+MIN_SPLIT_BYTES = 4 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -93,32 +94,61 @@ def _cells(block: np.ndarray, f: DbfField) -> np.ndarray:
     return np.ascontiguousarray(block[:, f.offset:f.offset + f.length]).view(f"S{f.length}").ravel()
 
 
+def _whole(arr) -> pa.Array:
+    return arr.combine_chunks() if isinstance(arr, pa.ChunkedArray) else arr
+
+
+_NULL_TEXT = pa.scalar(None, pa.string())
+INT_RE = r"^[+-]?[0-9]+$"
+FLOAT_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+DATE_RE = r"^[0-9]{8}$"
+
+
+def _ascii_text(cells: np.ndarray, raw_bytes: np.ndarray) -> pa.Array:
+    """Trimmed ASCII cells as Arrow strings; a cell holding any other byte is
+    NULL (it cannot be a number, date or flag)."""
+    arr = _whole(pa.array(cells, pa.binary()))
+    high = (raw_bytes >= 0x80).any(axis=1)
+    if high.any():
+        arr = pc.if_else(pa.array(high), pa.scalar(None, pa.binary()), arr)
+    return arr.cast(pa.string())
+
+
 def decode_field(block: np.ndarray, f: DbfField, type_name: str, encoding: str) -> pa.Array:
-    """Decode one field of every record in ``block`` (column-wise)."""
+    """Decode one field of every record in ``block`` (column-wise).
+
+    numpy cuts and trims the fixed-width cells; Arrow's vectorised kernels
+    validate and convert them, so no Python code runs per value except the
+    code-page decoding of text that is not plain ASCII.
+    """
+    raw_bytes = block[:, f.offset:f.offset + f.length]
     cells = _cells(block, f)
     if type_name == "int" and f.type == "I":
         return pa.array(np.frombuffer(cells.tobytes(), dtype="<i4"), pa.int32())
     if type_name == "string":
-        return pa.array(np.char.decode(np.char.rstrip(cells, b" \x00"), encoding, "replace"),
-                        pa.string())
-    text = pd.Series(np.char.decode(np.char.strip(cells, b" \x00"), "ascii", "replace"),
-                     dtype="string")
+        raw = np.char.rstrip(cells, b" \x00")
+        if not (raw_bytes >= 0x80).any():
+            # plain ASCII is valid UTF-8 in every supported code page
+            return _whole(pa.array(raw, pa.binary())).cast(pa.string())
+        return _whole(pa.array([c.decode(encoding, "replace") for c in raw.tolist()], pa.string()))
+    text = _ascii_text(np.char.strip(cells, b" \x00"), raw_bytes)
     if type_name == "boolean":
-        first = text.str[:1]
-        out = pd.Series(pd.NA, index=text.index, dtype="boolean")
-        out[first.isin(["T", "t", "Y", "y"])] = True
-        out[first.isin(["F", "f", "N", "n"])] = False
-        return pa.array(out, pa.bool_())
+        first = pc.utf8_slice_codeunits(text, 0, 1)
+        yes = pc.is_in(first, value_set=pa.array(["T", "t", "Y", "y"]))
+        no = pc.is_in(first, value_set=pa.array(["F", "f", "N", "n"]))
+        return pc.if_else(yes, True, pc.if_else(no, False, pa.scalar(None, pa.bool_())))
     if type_name == "date":
-        parsed = pd.to_datetime(text.where(text.str.fullmatch(r"[0-9]{8}")),
-                                format="%Y%m%d", errors="coerce")
-        return pa.array(parsed.dt.date, pa.date32(), from_pandas=True)
-    # numbers: blank or overflow marks (***) are NULL; a comma is a decimal point
-    text = text.str.strip("*").str.replace(",", ".", regex=False)
+        ok = pc.match_substring_regex(text, DATE_RE)
+        stamp = pc.strptime(pc.if_else(ok, text, _NULL_TEXT), format="%Y%m%d", unit="s",
+                            error_is_null=True)
+        return stamp.cast(pa.date32())
+    # numbers: overflow marks (***) are NULL; a comma is a decimal point
+    text = pc.replace_substring(pc.utf8_trim(text, "*"), ",", ".")
     if type_name == "bigint":
-        ints = text.where(text.str.fullmatch(r"[+-]?[0-9]+"))
-        return pa.array(pd.to_numeric(ints, errors="coerce").astype("Int64"), pa.int64())
-    return pa.array(pd.to_numeric(text, errors="coerce").astype("Float64"), pa.float64())
+        ok = pc.match_substring_regex(text, INT_RE)
+        return pc.if_else(ok, text, _NULL_TEXT).cast(pa.int64())
+    ok = pc.match_substring_regex(text, FLOAT_RE)
+    return pc.if_else(ok, text, _NULL_TEXT).cast(pa.float64())
 
 
 def encode_records(rows: list[tuple], fields: list[DbfField], encoding: str = "latin-1",
@@ -183,6 +213,7 @@ class DbfReader(DataSourceReader):
         self.path = opts.get("path") or opts.get("paths")
         self.encoding = opts.get("encoding", "latin-1")
         self.partition_bytes = int(opts.get("partitionbytes", DEFAULT_PARTITION_BYTES))
+        self.min_partitions = int(opts.get("minpartitions", 1))
         self.file_name_column = opts.get("filenamecolumn")
         self.schema = schema
 
@@ -194,9 +225,14 @@ class DbfReader(DataSourceReader):
         # per-request latency)
         with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
             headers = list(pool.map(read_header, files))
+        # like Spark's file sources: ranges of at most partitionBytes, but
+        # small enough that every core gets work (not below MIN_SPLIT_BYTES)
+        total = sum(h.n_records * h.record_len for h in headers)
+        split = min(self.partition_bytes,
+                    max(MIN_SPLIT_BYTES, total // max(self.min_partitions, 1)))
         parts = []
         for uri, h in zip(files, headers):
-            per = max(1, self.partition_bytes // max(h.record_len, 1))
+            per = max(1, split // max(h.record_len, 1))
             for first in range(0, h.n_records, per):
                 parts.append(DbfRange(uri, first, min(per, h.n_records - first)))
         return parts or [DbfRange("", 0, 0)]
@@ -234,8 +270,10 @@ class DbfReader(DataSourceReader):
 class DbfDataSource(DataSource):
     """``format("dbf")``: one file or a folder of ``*.dbf`` (any case). The
     schema comes from the first file's header; other files bind by field
-    name. Options: ``encoding`` (default latin-1), ``partitionBytes``,
-    ``fileNameColumn`` (adds each row's base file name)."""
+    name. Options: ``encoding`` (default latin-1), ``partitionBytes``
+    (largest record range, default 128 MB), ``minPartitions`` (spread small
+    tables over this many tasks), ``fileNameColumn`` (adds each row's base
+    file name)."""
 
     @classmethod
     def name(cls):
@@ -264,8 +302,13 @@ def read_dbf(spark: SparkSession, path: str, encoding: str = "latin-1",
              partition_bytes: int = DEFAULT_PARTITION_BYTES,
              file_name_column: str | None = None) -> DataFrame:
     register(spark)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no context under Spark Connect
+        cores = 1
     reader = (spark.read.format("dbf").option("encoding", encoding)
-              .option("partitionBytes", str(partition_bytes)))
+              .option("partitionBytes", str(partition_bytes))
+              .option("minPartitions", str(cores)))
     if file_name_column:
         reader = reader.option("fileNameColumn", file_name_column)
     return reader.load(path)
