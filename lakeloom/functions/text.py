@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.rstrip() treats as whitespace.
-# Java's \s covers only the ASCII ones, so the class is spelled out.
-PY_WHITESPACE = (
-    "\\t\\n\\x0B\\f\\r\\x1C\\x1D\\x1E\\x1F \\x85\\xA0"
-    "\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
-)
-TRAILING_WS = f"[{PY_WHITESPACE}]+$"
-BLANK = f"^[{PY_WHITESPACE}]*$"
-INT_TEXT = f"^[{PY_WHITESPACE}]*([+-]?[0-9]+)[{PY_WHITESPACE}]*$"
+# The characters Python's str.strip()/rstrip() remove: derived from
+# str.isspace() itself (every such character lies below U+3001).
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+INT_TEXT = "^[+-]?[0-9]+$"
+
+
+def _ws() -> Column:
+    return F.lit(PY_WHITESPACE)
 
 
 def rstrip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, TRAILING_WS, "")
+    """Python's ``rstrip()``: drop trailing whitespace (a set trim, no regex)."""
+    return F.rtrim(c, _ws())
+
+
+def strip_ws(c: Column) -> Column:
+    """Python's ``strip()``."""
+    return F.trim(c, _ws())
 
 
 def fixed_width_field(value: Column | str, start: int, size: int) -> Column:
@@ -30,17 +35,19 @@ def fixed_width_field(value: Column | str, start: int, size: int) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return c.rlike(BLANK)
+    return strip_ws(c) == F.lit("")
 
 
 def strict_int(raw: Column) -> Column:
     """Integer value of a field, NULL when blank or not an integer.
 
-    Only optional whitespace, an optional sign and ASCII digits are accepted;
-    ``7.0``, ``1 000`` and ``1_0`` are rejected (``try_cast`` alone would take
-    some of these). Callers use :func:`is_blank` to tell blank from invalid.
+    Only surrounding whitespace, an optional sign and ASCII digits are
+    accepted; ``7.0``, ``1 000`` and ``1_0`` are rejected (``try_cast``
+    alone would take some of these). Callers use :func:`is_blank` to tell
+    blank from invalid.
     """
-    return F.when(raw.rlike(INT_TEXT), F.regexp_extract(raw, INT_TEXT, 1).try_cast("bigint"))
+    t = strip_ws(raw)
+    return F.when(t.rlike(INT_TEXT), t.try_cast("bigint"))
 
 
 def parse_state_list(text: Column | str) -> Column:

@@ -74,9 +74,14 @@ def _parse(lines: DataFrame, layout: tuple[FixedField, ...]) -> DataFrame:
     """Slice every field once, then derive the typed values and two row
     flags: ``__valid`` (every int field blank or an integer) and ``__blank``
     (every field blank)."""
+    # The slices go through a one-row generator so each is computed once per
+    # line: plain projections would be inlined into every use (validity,
+    # blank flag, typed value and the pushed-down filter), repeating the
+    # string work several times per field.
     sliced = lines.select(
         "line", "file_name",
-        *[fixed_width_field("line", f.start, f.size).alias(f"__raw_{f.name}") for f in layout])
+        F.inline(F.array(F.struct(*[fixed_width_field("line", f.start, f.size).alias(f"__raw_{f.name}")
+                                    for f in layout]))))
     valid = F.lit(True)
     all_blank = F.lit(True)
     typed = []
