@@ -4,9 +4,9 @@ A byte is removed if a ``depth``-byte string covering it also starts in a
 document with a smaller id. Sorting every suffix of the corpus would move the
 text fifty times over; only suffixes that can be equal need to meet:
 
-1. Every ``depth``-byte string is filed under the smallest 18-byte gram inside
+1. Every ``depth``-byte string is filed under the smallest 16-byte gram inside
    it. Neighbouring strings mostly share that gram, so each run of them is one
-   piece of at most 82 bytes, and equal strings always lie in pieces of one
+   piece of at most 84 bytes, and equal strings always lie in pieces of one
    gram. A task sends its distinct pieces to the bucket of their gram; a piece
    it saw in a smaller document already is settled on the spot.
 2. A bucket settles equal pieces, then sorts the suffixes of the pieces that
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,8 @@ from lakeloom.llm.suffixes import GRAM, equal_classes, window_grams
 DEPTH = 50
 LAST_ID = (1 << 63) - 1  # stands for a null id: no document has a larger one
 CHUNK = 1 << 18  # bytes sampled at a time, so that work arrays stay in cache
-MAP_BYTES = 16 << 20
+MAP_BYTES = 8 << 20
+LEVEL = 6  # of the compression of pieces
 
 
 def pieces_of(data: np.ndarray, ends: np.ndarray, depth: int):
@@ -43,24 +45,30 @@ def pieces_of(data: np.ndarray, ends: np.ndarray, depth: int):
     (first and one past the last string start), gram position and gram hash.
     ``ends`` are the documents' ends in ``data``."""
     n = len(data) - depth + 1
+    z = np.zeros(0, np.int64)
     if n <= 0:
-        z = np.zeros(0, np.int64)
         return z, z, z, z.astype(np.uint64)
-    pos, val = np.empty(n, np.int64), np.empty(n, np.uint64)
+    ok = np.ones(n + 1, bool)
+    for e in ends.tolist():  # strings that cross a document's end
+        ok[max(0, e - depth + 1):min(e, n)] = False
+    starts, grams, values = [z], [z], [z.astype(np.uint64)]
+    last = -1
     for a in range(0, n, CHUNK):
         z = min(n, a + CHUNK)
         p, v = window_grams(data[a:z + depth - 1], depth)
-        pos[a:z], val[a:z] = p + a, v
-    ok = np.ones(n, bool)
-    for e in ends.tolist():  # strings that cross a document's end
-        ok[max(0, e - depth + 1):min(e, n)] = False
-    edge = np.ones(n, bool)
-    edge[1:] = (pos[1:] != pos[:-1]) | (ok[1:] != ok[:-1])
-    start = np.flatnonzero(edge)
+        p += a
+        edge = np.empty(z - a, bool)
+        edge[0] = p[0] != last or a == 0 or ok[a] != ok[a - 1]
+        edge[1:] = (p[1:] != p[:-1]) | (ok[a + 1:z] != ok[a:z - 1])
+        at = np.flatnonzero(edge)
+        starts.append(at + a)
+        grams.append(p[at])
+        values.append(v[at])
+        last = int(p[-1])
+    start, gram, value = (np.concatenate(x) for x in (starts, grams, values))
     stop = np.r_[start[1:], n]
     m = ok[start]
-    start, stop = start[m], stop[m]
-    return start, stop, pos[start], val[start]
+    return start[m], stop[m], gram[m], value[m]
 
 
 def merge_spans(doc: np.ndarray, a: np.ndarray, z: np.ndarray):
@@ -77,9 +85,16 @@ def merge_spans(doc: np.ndarray, a: np.ndarray, z: np.ndarray):
     return doc[first], a[first], top[np.r_[first[1:], len(doc)] - 1]
 
 
-def _pack(parts: list[np.ndarray]) -> bytes:
-    head = np.array([len(p) for p in parts], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(p.tobytes() for p in parts))
+def _pack(parts: list[np.ndarray], types: list) -> bytes:
+    """Columns end to end, compressed. Wide integers are stored as differences
+    to the value before, byte plane by byte plane, which leaves mostly zeros."""
+    out = [np.array([len(p) for p in parts], np.int64).tobytes()]
+    for p, t in zip(parts, types):
+        p = np.ascontiguousarray(p, t)
+        if p.itemsize > 1 and len(p):
+            p = np.diff(p, prepend=p.dtype.type(0)).view(np.uint8).reshape(len(p), -1).T
+        out.append(p.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(out))
 
 
 def _unpack(blob: bytes, types: list) -> list[np.ndarray]:
@@ -87,8 +102,12 @@ def _unpack(blob: bytes, types: list) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, np.int64, len(types))
     out, at = [], 8 * len(types)
     for n, t in zip(sizes.tolist(), types):
-        out.append(np.frombuffer(raw, t, n, at))
-        at += n * np.dtype(t).itemsize
+        width = np.dtype(t).itemsize
+        p = np.frombuffer(raw, np.uint8, n * width, at)
+        if width > 1:
+            p = np.cumsum(np.ascontiguousarray(p.reshape(width, n).T).view(t).ravel(), dtype=t)
+        out.append(p)
+        at += n * width
     return out
 
 
@@ -99,6 +118,12 @@ _TYPES = [np.uint8, np.uint8, np.uint8, np.int32, np.int64, np.int32, np.int64,
 _SPAN_TYPES = [np.int64, np.uint32, np.int64, np.int64]
 
 
+def _rows(*cols: np.ndarray) -> Iterator[tuple]:
+    """Rows of equally long arrays as Python numbers, some at a time."""
+    for i in range(0, len(cols[0]), 1 << 14):
+        yield from zip(*[c[i:i + (1 << 14)].tolist() for c in cols])
+
+
 def _map_block(rows: list[tuple[int, int, bytes]], depth: int, buckets: int):
     """(bucket, pieces blob, spans blob) rows of one block of documents."""
     rows.sort(key=lambda r: r[0])
@@ -112,11 +137,11 @@ def _map_block(rows: list[tuple[int, int, bytes]], depth: int, buckets: int):
     begins = ends - sizes
 
     seen: dict[bytes, int] = {}
-    entry, entries, texts = np.full(len(start), -1, np.int64), [], []
-    entry_doc: list[int] = []
+    entry, entries, entry_doc = np.full(len(start), -1, np.int64), array("q"), array("q")
+    texts: list[bytes] = []
     settled = np.zeros(len(start), bool)
     id_list = ids.tolist()
-    for i, (a, z, d) in enumerate(zip(start.tolist(), (stop + depth - 1).tolist(), doc.tolist())):
+    for i, (a, z, d) in enumerate(_rows(start, stop + depth - 1, doc)):
         s = raw[a:z]
         e = seen.setdefault(s, len(entries))
         if e == len(entries):
@@ -134,10 +159,11 @@ def _map_block(rows: list[tuple[int, int, bytes]], depth: int, buckets: int):
             texts.append(s)
         entry[i] = e
     del seen
+    entries, entry_doc = (np.array(x, np.int64) for x in (entries, entry_doc))
     sd, sa, sz = merge_spans(doc[settled], start[settled], stop[settled] + depth - 1)
-    spans = _pack([ids[sd], checks[sd], sa - begins[sd], sz - begins[sd]]) if len(sd) else None
+    spans = _pack([ids[sd], checks[sd], sa - begins[sd], sz - begins[sd]], _SPAN_TYPES) if len(sd) else None
 
-    first = np.array(entries, np.int64)
+    first = entries
     bucket = (value[first] % np.uint64(buckets)).astype(np.int64) if len(first) else np.zeros(0, np.int64)
     refs = np.flatnonzero(entry >= 0)
     by_bucket = np.argsort(bucket, kind="stable")
@@ -145,7 +171,7 @@ def _map_block(rows: list[tuple[int, int, bytes]], depth: int, buckets: int):
     ref_entry = entry[ref_order]
     cut = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1)) if buckets < len(first) else None
     present = range(buckets) if cut is not None else np.unique(bucket).tolist()
-    e_doc = np.array(entry_doc, np.int64)
+    e_doc = entry_doc
     r_lo = np.searchsorted(ref_entry, np.arange(len(first)))
     r_hi = np.searchsorted(ref_entry, np.arange(len(first)), side="right")
     for b in present:
@@ -161,7 +187,7 @@ def _map_block(rows: list[tuple[int, int, bytes]], depth: int, buckets: int):
         ref_at = start[ref_order[ridx]] - np.repeat(begins[e_doc[es]], counts)
         yield b, _pack([n.astype(np.uint8), (gram[at] - start[at]).astype(np.uint8), text,
                         np.repeat(np.arange(len(es)), counts).astype(np.int32), ref_at,
-                        local.astype(np.int32), ids[used], checks[used]]), spans
+                        local.astype(np.int32), ids[used], checks[used]], _TYPES), spans
         spans = None
     if spans is not None:
         yield 0, None, spans
@@ -180,6 +206,7 @@ def _settle_bucket(blobs: list[bytes], depth: int):
         for c, p in zip(cols, part):
             c.append(p)
     length, rel, text, ref_entry, ref_at, e_doc, ids, checks = (np.concatenate(c) for c in cols)
+    del cols, blobs
     length = length.astype(np.int64)
     off = np.cumsum(length) - length
     # pieces of one gram, met by two or more ids
@@ -202,12 +229,15 @@ def _settle_bucket(blobs: list[bytes], depth: int):
         return None
     # equal pieces: all but those of the smallest id are settled whole
     raw = text.tobytes()
+    del text
     best: dict[bytes, int] = {}
     label = np.empty(len(cand), np.int64)
-    for i, (a, n) in enumerate(zip(off[cand].tolist(), length[cand].tolist())):
+    for i, (a, n) in enumerate(_rows(off[cand], length[cand])):
         label[i] = best.setdefault(raw[a:a + n], len(best))
-    low = np.full(len(best), LAST_ID)
+    del raw
+    distinct = list(best)
     del best
+    low = np.full(len(distinct), LAST_ID)
     np.minimum.at(low, label, owner[cand])
     whole = owner[cand] > low[label]
     marks = [(cand[whole], np.zeros(int(whole.sum()), np.int64), length[cand[whole]])]
@@ -228,10 +258,13 @@ def _settle_bucket(blobs: list[bytes], depth: int):
     sel = o[keep]
     rep, rep_group, rep_label = rep[sel], rep_group[sel], label[stay[pick]][sel]
     if len(rep):
+        text = np.frombuffer(b"".join([distinct[i] for i in rep_label.tolist()]), np.uint8)
+        del distinct
+        at = np.cumsum(length[rep]) - length[rep]
         n = length[rep] - depth + 1
         piece = np.repeat(np.arange(len(rep)), n)
         shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        c, sizes = equal_classes(text, off[rep][piece] + shift, rep_group[piece], owner[rep][piece], depth)
+        c, sizes = equal_classes(text, at[piece] + shift, rep_group[piece], owner[rep][piece], depth)
         if len(c):
             own = owner[rep[piece[c]]]
             low = np.minimum.reduceat(own, np.cumsum(sizes) - sizes)
@@ -276,7 +309,7 @@ _SPANS = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_check
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH,
-                   bucket_bytes: int = 16 << 20) -> DataFrame:
+                   bucket_bytes: int = 8 << 20) -> DataFrame:
     """(_id, _check, _spans): per document and bucket the byte spans to remove
     as packed int64 pairs. ``_check`` is the crc32 of the text, which tells
     apart rows that share an id."""
