@@ -19,12 +19,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -290,16 +292,36 @@ def _settle_bucket(blobs: list[bytes], depth: int):
     return ids[doc], checks[doc], a, z
 
 
+def _shard_of(ids: np.ndarray, checks: np.ndarray, shards: int) -> np.ndarray:
+    """Spark's ``pmod(xxhash64(id, check), shards)``."""
+    out = np.empty(len(ids), np.int64)
+    for k, (i, c) in enumerate(zip(ids.tolist(), checks.tolist())):
+        h = xxhash.xxh64_intdigest(struct.pack("<q", c), xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+        out[k] = (h - (1 << 64) if h >> 63 else h) % shards
+    return out
+
+
+def _by_shard(ids, checks, a, z, shards: int) -> pa.Table:
+    """Spans packed per shard of documents."""
+    names, doc = np.unique(np.stack([ids, checks.astype(np.int64)]), axis=1, return_inverse=True)
+    doc = doc.ravel()
+    doc, a, z = merge_spans(doc.astype(np.int64), a, z)
+    shard = _shard_of(names[0], names[1], shards)[doc]
+    o = np.argsort(shard, kind="stable")
+    heads = np.flatnonzero(np.r_[True, shard[o][1:] != shard[o][:-1]]) if len(o) else np.zeros(0, np.int64)
+    blobs = [_pack([names[0][doc[p]], names[1][doc[p]], a[p], z[p]], _SPAN_TYPES)
+             for p in np.split(o, heads[1:])] if len(o) else []
+    return pa.table({"shard": pa.array(shard[o][heads], pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+
 def _span_rows(ids, checks, a, z) -> pa.Table:
     """One row per document: its spans as packed pairs."""
-    doc = np.unique(np.stack([ids, checks.astype(np.int64)]), axis=1, return_inverse=True)
-    (names, inv) = doc
-    inv = inv.ravel()
-    inv, a, z = merge_spans(inv.astype(np.int64), a, z)
-    first = np.flatnonzero(np.r_[True, inv[1:] != inv[:-1]])
+    names, doc = np.unique(np.stack([ids, checks.astype(np.int64)]), axis=1, return_inverse=True)
+    doc, a, z = merge_spans(doc.ravel().astype(np.int64), a, z)
+    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
     pair = np.stack([a, z], axis=1)
-    blobs = [pair[s:e].tobytes() for s, e in zip(first.tolist(), np.r_[first[1:], len(inv)].tolist())]
-    at = inv[first]
+    blobs = [pair[s:e].tobytes() for s, e in zip(first.tolist(), np.r_[first[1:], len(doc)].tolist())]
+    at = doc[first]
     return pa.table({"_id": pa.array(names[0][at]), "_check": pa.array(names[1][at]),
                      "_spans": pa.array(blobs, pa.binary())})
 
@@ -309,14 +331,14 @@ _SPANS = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_check
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH,
-                   bucket_bytes: int = 8 << 20) -> DataFrame:
-    """(_id, _check, _spans): per document and bucket the byte spans to remove
-    as packed int64 pairs. ``_check`` is the crc32 of the text, which tells
+                   bucket_bytes: int = 8 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+    """(_id, _check, _spans): the byte spans to remove from each document that
+    has any, as packed int64 pairs. ``_check`` is the crc32 of the text, which tells
     apart rows that share an id."""
     d = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("_id"),
                     F.col(text_col).cast("binary").alias("text"))
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(total / bucket_bytes))
+    buckets, shards = (max(1, math.ceil(total / x)) for x in (bucket_bytes, shard_bytes))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, bytes]] = []
@@ -348,11 +370,16 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, depth: int = DEP
         if found is not None:
             parts.append(found)
         if not parts:
-            return _span_rows(*[np.zeros(0, x) for x in _SPAN_TYPES])
+            return _by_shard(*[np.zeros(0, x) for x in _SPAN_TYPES], shards)
+        return _by_shard(*[np.concatenate(x) for x in zip(*parts)], shards)
+
+    def gather(t: pa.Table) -> pa.Table:
+        parts = [_unpack(s, _SPAN_TYPES) for s in t.column("blob").to_pylist()]
         return _span_rows(*[np.concatenate(x) for x in zip(*parts)])
 
-    return (d.mapInArrow(scan, "bucket int, pieces binary, spans binary")
-            .groupBy("bucket").applyInArrow(settle, _SPANS))
+    marked = (d.mapInArrow(scan, "bucket int, pieces binary, spans binary")
+              .groupBy("bucket").applyInArrow(settle, "shard bigint, blob binary"))
+    return marked.groupBy("shard").applyInArrow(gather, _SPANS)
 
 
 def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -375,7 +402,6 @@ def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "suffixes")
     spans = scratch.write(repeated_spans(docs, id_col, text_col, depth), "spans")
-    per_doc = spans.groupBy("_id", "_check").agg(F.collect_list("_spans").alias("_spans"))
 
     cols = [id_col] if digests else docs.columns
     keep = [c for c in cols if c != text_col]
@@ -394,7 +420,7 @@ def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     row_type = d.schema["_row"].dataType
     z_schema = T.StructType([d.schema["_id"], d.schema["_check"], T.StructField("_row", row_type),
                              T.StructField("_z", T.BinaryType())])
-    joined = (d.mapInArrow(squeeze, z_schema).join(per_doc, ["_id", "_check"], "left")
+    joined = (d.mapInArrow(squeeze, z_schema).join(spans, ["_id", "_check"], "left")
               .select("_row", "_z", "_spans"))
     out = T.StructType([T.StructField("_row", row_type), T.StructField("_text", T.StringType())]
                        + ([T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
@@ -424,11 +450,11 @@ def cut_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                          for c in cols])
 
 
-def _cut(text: bytes, spans: list[bytes] | None) -> tuple[bytes, int, int]:
+def _cut(text: bytes, spans: bytes | None) -> tuple[bytes, int, int]:
     """(kept bytes, bytes removed, maximal removed runs)."""
     if not spans:
         return text, 0, 0
-    pairs = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 2) for s in spans])
+    pairs = np.frombuffer(spans, np.int64).reshape(-1, 2)
     _, a, z = merge_spans(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
     kept, at = [], 0
     for s, e in zip(a.tolist(), z.tolist()):

@@ -235,11 +235,18 @@ def test_pieces_settle_like_brute_force(seed):
             per[i, c].append(np.array([a, z], np.int64).tobytes())
     got = []
     for i, t in docs:
-        kept, n, runs = substrings._cut(t, per.get((i, zlib.crc32(t))))
+        kept, n, runs = substrings._cut(t, b"".join(per.get((i, zlib.crc32(t)), [])))
         got.append((i, len(t), n, runs, hashlib.sha256(kept).hexdigest()))
     assert got == brute_repeats(docs)
 
 
+def test_shards_agree_with_spark(llm):
+    rows = [(i * 7919 - 3, (i * 2654435761) % 2**32) for i in range(50)]
+    df = llm.createDataFrame(rows, "i bigint, c bigint").select(F.pmod(F.xxhash64("i", "c"), F.lit(13)))
+    ids, checks = (np.array(x) for x in zip(*rows))
+    assert [r[0] for r in df.collect()] == substrings._shard_of(ids, checks, 13).tolist()
+
+
 def test_suffix_order():
     rng = np.random.default_rng(1)
     for trial in range(12):
