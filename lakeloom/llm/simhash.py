@@ -180,7 +180,7 @@ def link_within(keys, fp, home, forest: Forest, item, max_bits: int, big: int =
 
 
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS, group_rows: int = 400_000) -> DataFrame:
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS, group_rows: int = 100_000) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
     Null text and text without words have fingerprint zero and link like any
