@@ -19,6 +19,11 @@ def exists(uri: str) -> bool:
     return fs.get_file_info(p).type != pafs.FileType.NotFound
 
 
+def size(uri: str) -> int:
+    fs, p = resolve(uri)
+    return fs.get_file_info(p).size
+
+
 def list_files(uri: str, suffixes: tuple[str, ...] = ()) -> list[str]:
     """Files directly under a folder (or the file itself), sorted by name;
     ``suffixes`` match case-insensitively. Returned paths keep the URI scheme

@@ -8,17 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMPLEX = (T.StructType, T.ArrayType, T.MapType)
+# what a table column of a database can hold: one value per cell
+_SINGLE_VALUED = (T.AtomicType, T.NullType)
 
 
 def jdbc_safe(df: DataFrame) -> DataFrame:
-    """Cast struct / array / map columns to string, keep the rest and the order."""
-    cols = [
-        F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, _COMPLEX)
-        else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ]
-    return df.select(cols)
+    """The same frame with every column that is not single-valued as text."""
+    as_text = {f.name: F.col(f"`{f.name}`").cast(T.StringType())
+               for f in df.schema if not isinstance(f.dataType, _SINGLE_VALUED)}
+    return df.withColumns(as_text) if as_text else df
 
 
 # Text that can possibly parse as a number. Spark's string-to-integer cast

@@ -10,7 +10,7 @@ from lakeloom.spec import SOURCE_FILE_COLUMN
 
 # Raw file names are RD + state + yyMM + extension; a two-digit
 # year follows the POSIX %y rule (00-68 -> 20xx, 69-99 -> 19xx).
-FILE_NAME_PATTERN = r"^RD(.+?)([0-9]{2})([0-9]{2})\.[^.]+$"
+FILE_NAME_PATTERN = r"^RD([A-Z]{2})([0-9]{2})(0[1-9]|1[0-2])\.[^.]+$"
 YY_PIVOT = 68
 
 
@@ -28,16 +28,17 @@ def with_source_file(df: DataFrame, name: str = SOURCE_FILE_COLUMN) -> DataFrame
         return df.withColumn(name, F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
 
 
-def file_name_attrs(file_name: Column | str) -> dict[str, Column]:
+def file_name_attrs(file_name: Column | str, pattern: str = FILE_NAME_PATTERN) -> dict[str, Column]:
     """State, year and month parsed from a raw file name (``RDSP2301.csv``).
 
-    Returns NULLs for names that do not follow the convention.
+    Returns NULLs for names that do not follow ``pattern``, whose groups are
+    place, year and month.
     """
     c = F.col(file_name) if isinstance(file_name, str) else file_name
-    matched = c.rlike(FILE_NAME_PATTERN)
-    uf = F.regexp_extract(c, FILE_NAME_PATTERN, 1)
-    yy = F.regexp_extract(c, FILE_NAME_PATTERN, 2)
-    mm = F.regexp_extract(c, FILE_NAME_PATTERN, 3)
+    matched = c.rlike(pattern)
+    uf = F.regexp_extract(c, pattern, 1)
+    yy = F.regexp_extract(c, pattern, 2)
+    mm = F.regexp_extract(c, pattern, 3)
     return {
         "uf": F.when(matched, uf),
         "ano": F.when(matched, (yy.cast("int") + F.when(yy.cast("int") <= YY_PIVOT, 2000)

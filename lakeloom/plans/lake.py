@@ -56,11 +56,16 @@ def _guarded(spark: SparkSession, table: str, step: Callable[[], DataFrame]) ->
     try:
         return step()
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if _absent(exc):
             return _missing(spark, table)
         raise
 
 
+def _absent(exc: AnalysisException) -> bool:
+    """Is the folder not there or without files (any other fault is one)?"""
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def load_lake(spark: SparkSession, raw_root: str, target_for: Callable[[str], Target],
               status: DataFrame | None = None) -> dict[str, DataFrame]:
     """Load every dimension and the fact from a raw zone.
@@ -109,7 +114,9 @@ def load_lake(spark: SparkSession, raw_root: str, target_for: Callable[[str], Ta
     go = status is None or should_load_fact(status)
     try:
         scan = read_declared_csv(spark, fact_src, FACT_COLUMNS) if go else None
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not _absent(exc):
+            raise
         scan = None
     if scan is None:
         return {"dimensions": dims_report,

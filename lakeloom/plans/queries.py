@@ -89,7 +89,8 @@ def _order_file_names(spark: SparkSession, sf: str, level: str = "nation") -> Da
 def filename_attrs(spark: SparkSession, sf: str) -> DataFrame:
     names = _order_file_names(spark, sf).select(
         "o_orderkey", F.concat("stem", F.lit(".csv")).alias("file_name"))
-    attrs = file_name_attrs("file_name")
+    # the fixture's places are nation names, not two-letter states
+    attrs = file_name_attrs("file_name", pattern=r"^RD(.+?)([0-9]{2})(0[1-9]|1[0-2])\.[^.]+$")
     return names.select("o_orderkey", "file_name", *[v.alias(k) for k, v in attrs.items()])
 
 
@@ -396,7 +397,7 @@ def register_table_query(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(*[n for n, _ in ORDERS_SPEC])
     root = scratch_path(spark, "zone")
     paths = publish_zone({"raw/orders/": o.filter(F.col("o_orderstatus") == "F")}, root)
-    write(o.filter(F.col("o_orderstatus") != "F"), Target.path(paths["raw/orders/"], "csv"),
+    write(o.filter(~F.col("o_orderstatus").eqNullSafe("F")), Target.path(paths["raw/orders/"], "csv"),
           mode="append")
     name = "lakeloom_orders_" + root.rsplit("-", 1)[-1]
     register_external_table(spark, name, paths["raw/orders/"], ORDERS_SPEC)
@@ -477,7 +478,7 @@ def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     raw, out, ckpt = f"{root}/raw", f"{root}/landed", f"{root}/_checkpoint"
     write(o.filter(F.col("o_orderstatus") == "F"), Target.path(raw, "csv"))
     land_new_files(spark, raw, ORDERS_SPEC, out, ckpt)
-    write(o.filter(F.col("o_orderstatus") != "F"), Target.path(raw, "csv"), mode="append")
+    write(o.filter(~F.col("o_orderstatus").eqNullSafe("F")), Target.path(raw, "csv"), mode="append")
     land_new_files(spark, raw, ORDERS_SPEC, out, ckpt)
     land_new_files(spark, raw, ORDERS_SPEC, out, ckpt)  # nothing new: lands nothing
     return spark.read.parquet(out).select(*[n for n, _ in ORDERS_SPEC])

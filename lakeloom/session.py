@@ -62,6 +62,8 @@ def ensure_work_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
+    if sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     key = sc.applicationId if sc is not None else "connect"
     if key not in _PRIVATE_WORK:
         _PRIVATE_WORK[key] = tempfile.mkdtemp(prefix="lakeloom-work-")

@@ -11,9 +11,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import types as T
 
 from lakeloom import fs as lfs
 from lakeloom.functions.coerce import jdbc_safe
+from lakeloom.sources.csv import CSV_DIALECT
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ def _writer(df: DataFrame, t: Target, mode: str) -> DataFrameWriter:
         # upstream scan to that many tasks; a shuffle keeps the scan wide and
         # caps only the number of concurrent database connections.
         cap = int(t.options.get("numPartitions", 0) or 0)
-        if cap and df.rdd.getNumPartitions() > cap:
+        if cap:
             df = df.repartition(cap)
     elif t.max_files:
         # AQE rebalances to about this many evenly sized output files
@@ -77,7 +79,9 @@ def _writer(df: DataFrame, t: Target, mode: str) -> DataFrameWriter:
         df = df.hint("rebalance", t.max_files)
     w = df.write.mode(mode).format(t.fmt)
     if t.kind != "jdbc" and t.fmt == "csv":
-        w = w.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+        # blanks around a value are part of it
+        w = (w.options(**CSV_DIALECT).option("encoding", "UTF-8")
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     w = w.options(**t.options)
     if t.partition_by:
         w = w.partitionBy(*t.partition_by)
@@ -98,12 +102,15 @@ def write(df: DataFrame, t: Target, mode: str = "overwrite") -> None:
         raise ValueError(t.kind)
 
 
-def read(spark: SparkSession, t: Target) -> DataFrame:
+def read(spark: SparkSession, t: Target, schema: T.StructType | None = None) -> DataFrame:
+    """Read a target back; ``schema`` gives the types of a CSV folder as they
+    were written (inferred otherwise)."""
     if t.kind == "path":
-        r = spark.read.format(t.fmt).options(**t.options)
+        r = spark.read.format(t.fmt)
         if t.fmt == "csv":
-            r = r.option("header", True).option("inferSchema", True)
-        return r.load(t.location)
+            r = r.options(**CSV_DIALECT)
+            r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
+        return r.options(**t.options).load(t.location)
     if t.kind == "table":
         return spark.table(t.location)
     return spark.read.format("jdbc").options(**t.options).load()
@@ -112,7 +119,8 @@ def read(spark: SparkSession, t: Target) -> DataFrame:
 def exists(spark: SparkSession, t: Target) -> bool:
     """Exact-name existence probe of the target."""
     if t.kind == "path":
-        return lfs.exists(t.location)
+        # a folder without commit marker or files is a load that never ended
+        return lfs.exists(f"{t.location.rstrip('/')}/_SUCCESS") or bool(lfs.list_files(t.location))
     if t.kind == "table":
         return spark.catalog.tableExists(t.location)
     try:
@@ -130,11 +138,13 @@ def create_if_absent(spark: SparkSession, t: Target, build: Callable[[], DataFra
 
     The probe comes first, so an existing target costs no read of the
     source; existing rows are never touched. Returns True when written.
-    ``mode("ignore")`` backs the probe up against a concurrent creator.
+    ``mode("ignore")`` backs the probe up against a concurrent creator; a
+    folder that an earlier load left unfinished is overwritten.
     """
     if exists(spark, t):
         return False
-    write(build(), t, mode="ignore")
+    left_over = t.kind == "path" and lfs.exists(t.location)
+    write(build(), t, mode="overwrite" if left_over else "ignore")
     return True
 
 
@@ -145,16 +155,19 @@ def dual_publish(spark: SparkSession, df: DataFrame, staging: Target, fact: Targ
     the (possibly expensive) source plan runs once and the second write
     reads a materialised copy; lineage is cut and an executor lost during
     the second write re-reads staging files instead of recomputing the
-    source. A JDBC staging target is not re-read: the frame is checkpointed
-    to the shared work folder instead. Returns the fact as written.
+    source. CSV staging is read back with the types that were written. For a
+    JDBC staging target the frame is checkpointed to the shared work folder
+    before either write. Returns the fact as written.
     """
-    write(df, staging)
     if staging.kind in ("path", "table"):
-        again = read(spark, staging)
+        write(df, staging)
+        again = read(spark, staging, df.schema)
     else:
+        # materialised first, so that both tables get the same rows
         again = df.checkpoint(eager=True)
+        write(again, staging)
     write(again, fact)
-    return read(spark, fact) if fact.kind in ("path", "table") else again
+    return read(spark, fact, again.schema) if fact.kind in ("path", "table") else again
 
 
 def publish_zone(tables: dict[str, DataFrame], root: str, fmt: str = "csv",
@@ -163,13 +176,14 @@ def publish_zone(tables: dict[str, DataFrame], root: str, fmt: str = "csv",
     layout serves a local folder and an object store. Returns name -> path."""
     paths = {}
     for sub, df in tables.items():
-        path = f"{root.rstrip('/')}/{subpath_from_prefix(sub)}"
+        path = f"{root.rstrip('/')}/{zone_folder(sub)}"
         write(df, Target.path(path, fmt), mode)
         paths[sub] = path
     return paths
 
 
-def subpath_from_prefix(prefix: str) -> str:
-    """``raw/sih/`` -> ``sih``: zone prefix to sub-folder."""
-    return prefix.replace("raw/", "").strip("/")
-
+def zone_folder(prefix: str, zone: str = "raw") -> str:
+    """The folder of a prefix below its zone root; only a leading ``zone``
+    segment is the root (``raw/a/`` and ``a`` are folder ``a``)."""
+    segments = [x for x in prefix.split("/") if x]
+    return "/".join(segments[1:] if segments[:1] == [zone] else segments)

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.sources.csv import CSV_DIALECT
+
 
 def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
@@ -21,6 +23,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_external_table(spark: SparkSession, name: str, location: str,
                             columns: Iterable[tuple[str, str]] | None = None,
                             fmt: str = "csv", options: dict[str, str] | None = None,
@@ -31,19 +38,19 @@ def register_external_table(spark: SparkSession, name: str, location: str,
     and swaps the column list. CSV tables always consume the header line.
     Returns a scan of the registered table.
     """
-    opts = {"header": "true"} if fmt == "csv" else {}
+    opts = dict(CSV_DIALECT) if fmt == "csv" else {}
     opts.update(options or {})
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
     cols = ""
     if columns:
         cols = "(" + ", ".join(f"`{n}` {t}" for n, t in columns) + ")"
-    opt_sql = ", ".join(f"'{k}' '{v}'" for k, v in opts.items())
+    opt_sql = ", ".join(f"{_text(k)} {_text(v)}" for k, v in opts.items())
     parts = list(partition_by)
     part_sql = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quote(name)} {cols} USING {fmt} "
-        f"OPTIONS ({opt_sql}){part_sql} LOCATION '{location}'"
+        f"OPTIONS ({opt_sql}){part_sql} LOCATION {_text(location)}"
     )
     if parts:
         spark.sql(f"MSCK REPAIR TABLE {_quote(name)}")

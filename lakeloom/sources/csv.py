@@ -9,13 +9,17 @@ from pyspark.sql import types as T
 
 from lakeloom.functions.coerce import apply_spec
 
-# Upper- and lower-case extensions are the same kind of file.
+# How this library writes and reads CSV, everywhere.
+CSV_DIALECT = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+
+# For callers who want only files with the extension; by default every file
+# of the folder is read.
 CSV_GLOB = "*.{csv,CSV}"
 
 
 def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None, recursive: bool):
-    r = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
+    r = (spark.read.options(**CSV_DIALECT).option("sep", sep).option("encoding", encoding)
+         .option("mode", "PERMISSIVE"))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
@@ -25,7 +29,7 @@ def _reader(spark: SparkSession, sep: str, encoding: str, glob: str | None, recu
 
 def read_declared_csv(spark: SparkSession, path: str | list[str],
                       columns: Iterable[tuple[str, str]], sep: str = ",",
-                      encoding: str = "UTF-8", glob: str | None = CSV_GLOB,
+                      encoding: str = "UTF-8", glob: str | None = None,
                       recursive: bool = False) -> DataFrame:
     """Scan CSV files under a declared column list.
 
@@ -35,7 +39,7 @@ def read_declared_csv(spark: SparkSession, path: str | list[str],
     is kept. Missing trailing fields are NULL, extra fields are ignored.
     Quote-aware, so a quoted comma stays inside its field. The scan stays
     splittable (no multi-line records), so one large file is read by many
-    tasks.
+    tasks. Every file below ``path`` is read unless ``glob`` picks some.
     """
     spec = list(columns)
     text_schema = T.StructType([T.StructField(n, T.StringType(), True) for n, _ in spec])
@@ -47,7 +51,7 @@ def read_declared_csv(spark: SparkSession, path: str | list[str],
 
 
 def read_inferred_csv(spark: SparkSession, path: str | list[str], sep: str = ",",
-                      encoding: str = "UTF-8", glob: str | None = CSV_GLOB,
+                      encoding: str = "UTF-8", glob: str | None = None,
                       sampling_ratio: float = 1.0, recursive: bool = False) -> DataFrame:
     """Scan CSV files whose types are inferred from the data; names are
     lower-cased. Inference costs an extra pass over the sample; at scale pass

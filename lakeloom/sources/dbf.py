@@ -227,14 +227,18 @@ class DbfReader(DataSourceReader):
             headers = list(pool.map(read_header, files))
         # like Spark's file sources: ranges of at most partitionBytes, but
         # small enough that every core gets work (not below MIN_SPLIT_BYTES)
-        total = sum(h.n_records * h.record_len for h in headers)
+        # the file's size says how many records there are; the count in a
+        # header may be stale (an end-of-file mark still ends the table)
+        counts = [max(0, (lfs.size(u) - h.header_len) // max(h.record_len, 1))
+                  for u, h in zip(files, headers)]
+        total = sum(n * h.record_len for n, h in zip(counts, headers))
         split = min(self.partition_bytes,
                     max(MIN_SPLIT_BYTES, total // max(self.min_partitions, 1)))
         parts = []
-        for uri, h in zip(files, headers):
+        for uri, h, n in zip(files, headers, counts):
             per = max(1, split // max(h.record_len, 1))
-            for first in range(0, h.n_records, per):
-                parts.append(DbfRange(uri, first, min(per, h.n_records - first)))
+            for first in range(0, n, per):
+                parts.append(DbfRange(uri, first, min(per, n - first)))
         return parts or [DbfRange("", 0, 0)]
 
     def read(self, partition: DbfRange):

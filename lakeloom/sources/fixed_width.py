@@ -51,12 +51,14 @@ CNV_GLOB = "*.{cnv,CNV}"
 
 
 def decode_lines(spark: SparkSession, path: str | list[str], encoding: str,
-                 glob: str | None = None, ignore_corrupt: bool = True) -> DataFrame:
+                 glob: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
     """Lines of text files as ``line`` (decoded) and ``file_name``.
 
     The text source splits on LF / CRLF / CR and hands back the raw bytes of
     each line, so casting to binary and decoding recovers any single-byte
-    encoding exactly. Large files are split across tasks.
+    encoding exactly. Large files are split across tasks. A file that cannot
+    be read to its end fails the job; ``ignore_corrupt`` keeps what could be
+    read of it instead.
     """
     reader = spark.read.format("text")
     if glob:
@@ -100,16 +102,17 @@ def _parse(lines: DataFrame, layout: tuple[FixedField, ...]) -> DataFrame:
 def read_fixed_width(spark: SparkSession, path: str | list[str],
                      layout: tuple[FixedField, ...], encoding: str = "UTF-8",
                      glob: str | None = None, keep_blank_rows: bool = False,
-                     with_file_name: bool = False) -> DataFrame:
+                     with_file_name: bool = False, ignore_corrupt: bool = False) -> DataFrame:
     """Parse fixed-width files by a layout.
 
     String fields keep leading spaces, lose trailing whitespace and have
     commas turned into spaces. Integer fields are blank (NULL) or a whole
     integer; any other value rejects the whole line. Lines whose fields are
     all blank are dropped unless ``keep_blank_rows``. Works on one file or a
-    folder (``glob`` e.g. :data:`CNV_GLOB`); unreadable files are skipped.
+    folder (``glob`` e.g. :data:`CNV_GLOB`). An unreadable file fails the job
+    unless ``ignore_corrupt``, which keeps the lines read before the fault.
     """
-    parsed = _parse(decode_lines(spark, path, encoding, glob), layout)
+    parsed = _parse(decode_lines(spark, path, encoding, glob, ignore_corrupt), layout)
     keep = F.col("__valid") if keep_blank_rows else (F.col("__valid") & ~F.col("__blank"))
     out = [f.name for f in layout] + (["file_name"] if with_file_name else [])
     return parsed.filter(keep).select(*out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.plans.loads import (load_dimension, load_fact, municipality_dimension,
                                   static_dimension_loads)
 from lakeloom.sinks.targets import (Target, create_if_absent, dual_publish, jdbc_options,
-                                    publish_zone, subpath_from_prefix, write)
+                                    publish_zone, write, zone_folder)
 from lakeloom.sources.catalog import register_external_table
 from lakeloom.sources.files import list_files
 from lakeloom.sources.static_dims import STATIC_DIMENSIONS, static_codes, static_dimensions
@@ -43,7 +43,8 @@ def test_csv_sink_and_zone(spark, tmp):
     df = spark.createDataFrame([(1, None, "x,y")], "a int, b string, c string")
     paths = publish_zone({"raw/sih/": df}, tmp)
     assert paths == {"raw/sih/": os.path.join(tmp, "sih")}
-    assert subpath_from_prefix("raw/ibge-municipios/") == "ibge-municipios"
+    assert zone_folder("raw/ibge-municipios/") == "ibge-municipios"
+    assert zone_folder("draw/x") == "draw/x" and zone_folder("a/raw/b") == "a/raw/b"
     files = [open(os.path.join(paths["raw/sih/"], f)).read().splitlines()
              for f in sorted(os.listdir(paths["raw/sih/"])) if f.endswith(".csv")]
     assert all(f[0] == "a,b,c" for f in files)            # header in every file
