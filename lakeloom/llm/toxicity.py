@@ -11,6 +11,7 @@ has a weight of its own.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,11 +23,12 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import as_bytes, fold, sigmoid, text_blocks, train_in_task
 from lakeloom.llm.crf import Adam
 
-POSITIVES = 4000  # confirmed toxic documents the model is fitted on, at most
-UNLABELLED = 8000  # unlabelled documents, at most
+POSITIVES = 3000  # confirmed toxic documents the model is fitted on, at most
+UNLABELLED = 6000  # unlabelled documents, at most
 SAMPLE_BYTES = 1 << 16  # longest document in that sample
 FEATURES = 2048  # words and beginnings kept
 PREFIXES = (4, 5, 6)  # characters
+SLOTS = 1 << 22  # hashed slots of the first count
 CAP = 8  # a feature's count in one text beyond this adds nothing
 MEMO = 1 << 19  # words whose features a task remembers
 
@@ -49,11 +51,23 @@ def shorter(feature: str) -> list[str]:
     return [w[:n] + "*" for n in PREFIXES if n < len(w) or n == len(w) and feature == w]
 
 
-def _counts(words: list[bytes]) -> Counter:
+def _slot(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % SLOTS
+
+
+def _strength(pos: np.ndarray, unl: np.ndarray, n_pos: int, n_unl: int) -> np.ndarray:
+    """Difference of two shares in standard errors."""
+    a, b, m = pos / n_pos, unl / n_unl, (pos + unl) / (n_pos + n_unl)
+    return np.abs(a - b) / np.sqrt(m * (1 - m) * (1 / n_pos + 1 / n_unl) + 1e-12)
+
+
+def _counts(words: list[bytes], open_: np.ndarray) -> Counter:
+    """Counts of the features whose slot is open."""
     out: Counter = Counter()
     for w, n in Counter(words).items():
         for f in features_of(w):
-            out[f] += n
+            if open_[_slot(f)]:
+                out[f] += n
     return out
 
 
@@ -65,18 +79,23 @@ def fit(table: pa.Table, features: int = FEATURES, least: int = 8, least_z: floa
     prior = min(max(prior[0] if prior else 0.5, 1e-3), 0.999)
     if positive.all() or not positive.any():
         return pickle.dumps({"names": {}, "w": np.zeros(0), "bias": float(np.log(prior / (1 - prior)))})
-    docs = [_counts(words_of(t)) for t in as_bytes(table.column("text").combine_chunks())]
+    texts = as_bytes(table.column("text").combine_chunks())
     n_pos, n_unl = int(positive.sum()), int((~positive).sum())
+    # first by hashed slot, so that rare features take no memory: the slots
+    # in which any feature can matter
+    seen = np.zeros((2, SLOTS), np.int32)
+    for t, p in zip(texts, positive):
+        slots = {_slot(f) for w in set(words_of(t)) for f in features_of(w)}
+        seen[int(p), list(slots)] += 1
+    open_ = (seen.sum(0) >= least) & (_strength(seen[1], seen[0], n_pos, n_unl) > least_z)
+    docs = [_counts(words_of(t), open_) for t in texts]
     in_pos, in_unl = Counter(), Counter()
     for c, p in zip(docs, positive):
         (in_pos if p else in_unl).update(c.keys())
     # how far a feature's share among positives lies from its share in the
     # unlabelled sample, in standard errors; the most telling stay
     names = sorted(f for f in in_pos.keys() | in_unl.keys() if in_pos[f] + in_unl[f] >= least)
-    a = np.array([in_pos[f] for f in names]) / n_pos
-    b = np.array([in_unl[f] for f in names]) / n_unl
-    m = (a * n_pos + b * n_unl) / (n_pos + n_unl)
-    z = np.abs(a - b) / np.sqrt(m * (1 - m) * (1 / n_pos + 1 / n_unl) + 1e-12)
+    z = _strength(np.array([in_pos[f] for f in names]), np.array([in_unl[f] for f in names]), n_pos, n_unl)
     # a word or beginning goes if a shorter beginning of it tells as much
     strength = dict(zip(names, z.tolist()))
     best = [names[i] for i in np.argsort(-z, kind="stable") if z[i] > least_z
