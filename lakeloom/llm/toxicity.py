@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import as_bytes, fold, sigmoid, text_blocks, train_in_task
 from lakeloom.llm.crf import Adam
 
-POSITIVES = 3000  # confirmed toxic documents the model is fitted on, at most
-UNLABELLED = 6000  # unlabelled documents, at most
+POSITIVES = 1500  # confirmed toxic documents the model is fitted on, at most
+UNLABELLED = 3000  # unlabelled documents, at most
 SAMPLE_BYTES = 1 << 16  # longest document in that sample
-FEATURES = 2048  # words and beginnings kept
+FEATURES = 256  # words and beginnings kept
 PREFIXES = (4, 5, 6)  # characters
 SLOTS = 1 << 22  # hashed slots of the first count
 CAP = 8  # a feature's count in one text beyond this adds nothing
@@ -61,18 +61,21 @@ def _strength(pos: np.ndarray, unl: np.ndarray, n_pos: int, n_unl: int) -> np.nd
     return np.abs(a - b) / np.sqrt(m * (1 - m) * (1 / n_pos + 1 / n_unl) + 1e-12)
 
 
-def _counts(words: list[bytes], open_: np.ndarray) -> Counter:
+def _counts(words: list[bytes], open_: np.ndarray, memo: dict) -> Counter:
     """Counts of the features whose slot is open."""
     out: Counter = Counter()
+    is_open = open_.item
     for w, n in Counter(words).items():
-        for f in features_of(w):
-            if open_[_slot(f)]:
-                out[f] += n
+        slots = memo[w]
+        if any(map(is_open, slots)):
+            for f, s in zip(features_of(w), slots):
+                if is_open(s):
+                    out[f] += n
     return out
 
 
 def fit(table: pa.Table, features: int = FEATURES, least: int = 8, least_z: float = 5.0,
-        steps: int = 1500, rate: float = 0.03, l2: float = 1e-5) -> bytes:
+        steps: int = 1000, rate: float = 0.03, l2: float = 1e-5) -> bytes:
     """Model bytes from rows (text, positive, prior)."""
     positive = np.array([bool(x) for x in table.column("positive").to_pylist()], bool)
     prior = [x for x in table.column("prior").to_pylist() if x is not None]
@@ -84,11 +87,15 @@ def fit(table: pa.Table, features: int = FEATURES, least: int = 8, least_z: floa
     # first by hashed slot, so that rare features take no memory: the slots
     # in which any feature can matter
     seen = np.zeros((2, SLOTS), np.int32)
+    memo: dict[bytes, tuple[int, ...]] = {}
     for t, p in zip(texts, positive):
-        slots = {_slot(f) for w in set(words_of(t)) for f in features_of(w)}
+        words = set(words_of(t))
+        memo |= {w: tuple(map(_slot, features_of(w))) for w in words if w not in memo}
+        slots = {s for w in words for s in memo[w]}
         seen[int(p), list(slots)] += 1
     open_ = (seen.sum(0) >= least) & (_strength(seen[1], seen[0], n_pos, n_unl) > least_z)
-    docs = [_counts(words_of(t), open_) for t in texts]
+    docs = [_counts(words_of(t), open_, memo) for t in texts]
+    del memo
     in_pos, in_unl = Counter(), Counter()
     for c, p in zip(docs, positive):
         (in_pos if p else in_unl).update(c.keys())
