@@ -4,7 +4,7 @@ A logistic model is trained from confirmed toxic texts and unlabelled texts
 only. The risk is ``prior * R_pos(+) + max(0, R_unl(-) - prior * R_pos(-))``;
 while the second part is negative its gradient is reversed, which keeps the
 model from calling unlabelled positives negative. Features are whole words and
-word beginnings with capped counts, kept where they tell the two samples apart; a second occurrence
+word beginnings with capped counts, all that tell the two samples apart; a second occurrence
 has a weight of its own.
 """
 
@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import as_bytes, fold, sigmoid, text_blocks, train_in_task
 from lakeloom.llm.crf import Adam
 
-POSITIVES = 1500  # confirmed toxic documents the model is fitted on, at most
-UNLABELLED = 3000  # unlabelled documents, at most
+POSITIVES = 3000  # confirmed toxic documents the model is fitted on, at most
+UNLABELLED = 6000  # unlabelled documents, at most
 SAMPLE_BYTES = 1 << 16  # longest document in that sample
-FEATURES = 256  # words and beginnings kept
 PREFIXES = (4, 5, 6)  # characters
 SLOTS = 1 << 22  # hashed slots of the first count
 CAP = 8  # a feature's count in one text beyond this adds nothing
@@ -74,8 +73,8 @@ def _counts(words: list[bytes], open_: np.ndarray, memo: dict) -> Counter:
     return out
 
 
-def fit(table: pa.Table, features: int = FEATURES, least: int = 8, least_z: float = 5.0,
-        steps: int = 1000, rate: float = 0.03, l2: float = 1e-5) -> bytes:
+def fit(table: pa.Table, least: int = 8, least_z: float = 5.0, steps: int = 1500,
+        rate: float = 0.03, l2: float = 1e-5) -> bytes:
     """Model bytes from rows (text, positive, prior)."""
     positive = np.array([bool(x) for x in table.column("positive").to_pylist()], bool)
     prior = [x for x in table.column("prior").to_pylist() if x is not None]
@@ -100,34 +99,37 @@ def fit(table: pa.Table, features: int = FEATURES, least: int = 8, least_z: floa
     for c, p in zip(docs, positive):
         (in_pos if p else in_unl).update(c.keys())
     # how far a feature's share among positives lies from its share in the
-    # unlabelled sample, in standard errors; the most telling stay
+    # unlabelled sample, in standard errors; all beyond the threshold stay
     names = sorted(f for f in in_pos.keys() | in_unl.keys() if in_pos[f] + in_unl[f] >= least)
     z = _strength(np.array([in_pos[f] for f in names]), np.array([in_unl[f] for f in names]), n_pos, n_unl)
     # a word or beginning goes if a shorter beginning of it tells as much
     strength = dict(zip(names, z.tolist()))
-    best = [names[i] for i in np.argsort(-z, kind="stable") if z[i] > least_z
-            and all(strength.get(s, 0.0) < z[i] for s in shorter(names[i]))]
-    names = sorted(best[:features])
+    names = [f for f, v in strength.items() if v > least_z
+             and all(strength.get(s, 0.0) < v for s in shorter(f))]
     index = {f: i for i, f in enumerate(names)}
-    x = np.zeros((len(docs), len(names) * 2), np.float32)
-    for r, c in enumerate(docs):
-        for f in c.keys() & index.keys():
-            x[r, index[f]] = min(c[f], CAP)
-            x[r, index[f] + len(names)] = c[f] > 1
-    xp, xu = x[positive], x[~positive]
-    p = {"w": np.zeros(x.shape[1]), "b": np.full(1, np.log(prior / (1 - prior)))}
+    # the entries of the sparse matrix: few features occur in any one text
+    cells = [(r, index[f], n) for r, c in enumerate(docs) for f, n in sorted(c.items()) if f in index]
+    row, col, n = np.array(cells, np.int64).reshape(-1, 3).T
+    twice = n > 1
+    row, col = np.r_[row, row[twice]], np.r_[col, col[twice] + len(names)]
+    val = np.r_[np.minimum(n, CAP), np.ones(int(twice.sum()))].astype(np.float64)
+    p = {"w": np.zeros(len(names) * 2), "b": np.full(1, np.log(prior / (1 - prior)))}
     opt = Adam(rate)
+
+    def back(weight: np.ndarray) -> np.ndarray:
+        return np.bincount(col, val * weight[row], minlength=len(names) * 2)
+
     for _ in range(steps):
-        zp, zu = sigmoid(xp @ p["w"] + p["b"]), sigmoid(xu @ p["w"] + p["b"])
+        score = sigmoid(np.bincount(row, val * p["w"][col], minlength=len(docs)) + p["b"])
+        zp, zu = score[positive], score[~positive]
         # logistic losses: R+ on positives, R- on both samples
         negative = (-np.log1p(-np.clip(zu, 0, 1 - 1e-9)).mean()
                     + prior * np.log1p(-np.clip(zp, 0, 1 - 1e-9)).mean())
-        gw = -prior * (xp.T @ (1 - zp)) / n_pos
-        gb = -prior * (1 - zp).mean()
-        uw = xu.T @ zu / n_unl - prior * (xp.T @ zp) / n_pos
+        uw = back(np.where(positive, -prior * score / n_pos, score / n_unl))
         ub = zu.mean() - prior * zp.mean()
         if negative >= 0:
-            gw, gb = gw + uw, gb + ub
+            gw = uw - back(np.where(positive, prior * (1 - score) / n_pos, 0.0))
+            gb = ub - prior * (1 - zp).mean()
         else:
             gw, gb = -uw, -ub
         opt.step(p, {"w": gw + l2 * p["w"], "b": np.array([gb])})

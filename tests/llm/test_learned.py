@@ -76,6 +76,18 @@ def test_toxicity_held_out(corpus, documents, empty):
     assert toxicity.score_documents(empty, model).collect() == []
 
 
+def test_toxicity_keeps_every_telling_word():
+    bad = ["".join(w) for w in itertools.product("bcdfghjk", "aeiouyw", "lmnprst")]
+    assert len(bad) == 392
+    rows = [(" ".join(bad[(d * 7 + j) % 392] for j in range(7)) + " some plain text", 1) for d in range(1120)]
+    rows += [(f"some plain text number {d}", 0) for d in range(2000)]
+    model = toxicity.fit(pa.table({"text": [t for t, _ in rows], "positive": [p for _, p in rows],
+                                   "prior": [0.3] * len(rows)}))
+    scorer = toxicity.Scorer(model)
+    assert set(bad) <= set(scorer.names)
+    assert all(scorer.score(f"{w} {w}".encode()) > scorer.score(b"some plain text") for w in bad)
+
+
 def test_language_held_out(corpus, documents, empty):
     docs, _ = corpus
     model = language.train(docs, per_language=60)
