@@ -85,6 +85,45 @@ def spark_type(f: DbfField) -> str:
     return "string"
 
 
+def _wider(a: str, b: str, exact: bool) -> str:
+    """The type that holds the values of two; ``exact`` says whether every
+    bigint among them is exact as a double. What no number, date or flag
+    holds alike is text."""
+    if a == b:
+        return a
+    both = {a, b}
+    if both <= {"int", "bigint"}:
+        return "bigint"
+    if both <= {"int", "bigint", "double"} and exact:
+        return "double"
+    return "string"
+
+
+def merged_columns(headers: list[DbfHeader]) -> dict[str, str]:
+    """Field name -> widest type over all headers, names as they first occur."""
+    types: dict[str, str] = {}
+    digits: dict[str, int] = {}
+    for h in headers:
+        if len({f.name for f in h.fields}) < len(h.fields):
+            raise ValueError(f"a field name occurs twice: {[f.name for f in h.fields]}")
+        for f in h.fields:
+            t = spark_type(f)
+            if t == "bigint":
+                digits[f.name] = max(digits.get(f.name, 0), f.length)
+            types.setdefault(f.name, t)
+            types[f.name] = _wider(types[f.name], t, digits.get(f.name, 0) <= 15)
+    return types
+
+
+def read_headers(files: list[str]) -> list[DbfHeader]:
+    """Headers are tiny; they are read concurrently (object stores have high
+    per-request latency)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        return list(pool.map(read_header, files))
+
+
 _ARROW = {"bigint": pa.int64(), "double": pa.float64(), "int": pa.int32(),
           "date": pa.date32(), "boolean": pa.bool_(), "string": pa.string()}
 
@@ -123,8 +162,12 @@ def decode_field(block: np.ndarray, f: DbfField, type_name: str, encoding: str)
     """
     raw_bytes = block[:, f.offset:f.offset + f.length]
     cells = _cells(block, f)
-    if type_name == "int" and f.type == "I":
-        return pa.array(np.frombuffer(cells.tobytes(), dtype="<i4"), pa.int32())
+    if f.type == "I":
+        return pa.array(np.frombuffer(cells.tobytes(), dtype="<i4"), pa.int32()).cast(_ARROW[type_name])
+    if type_name == "string" and spark_type(f) != "string":
+        # text because other files have another type: blank and overflow are NULL
+        text = _ascii_text(np.char.strip(cells, b" \x00"), raw_bytes)
+        return pc.if_else(pc.match_substring_regex(text, r"^[*]*$"), _NULL_TEXT, text)
     if type_name == "string":
         raw = np.char.rstrip(cells, b" \x00")
         if not (raw_bytes >= 0x80).any():
@@ -218,13 +261,8 @@ class DbfReader(DataSourceReader):
         self.schema = schema
 
     def partitions(self):
-        from concurrent.futures import ThreadPoolExecutor
-
         files = lfs.list_files(self.path, (".dbf",))
-        # headers are tiny; read them concurrently (object stores have high
-        # per-request latency)
-        with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-            headers = list(pool.map(read_header, files))
+        headers = read_headers(files)
         # like Spark's file sources: ranges of at most partitionBytes, but
         # small enough that every core gets work (not below MIN_SPLIT_BYTES)
         # the file's size says how many records there are; the count in a
@@ -273,8 +311,9 @@ class DbfReader(DataSourceReader):
 
 class DbfDataSource(DataSource):
     """``format("dbf")``: one file or a folder of ``*.dbf`` (any case). The
-    schema comes from the first file's header; other files bind by field
-    name. Options: ``encoding`` (default latin-1), ``partitionBytes``
+    schema merges all headers: every field name, in its widest type (text
+    where types do not go together); files bind by field name, a field that a
+    file lacks is NULL. Options: ``encoding`` (default latin-1), ``partitionBytes``
     (largest record range, default 128 MB), ``minPartitions`` (spread small
     tables over this many tasks), ``fileNameColumn`` (adds each row's base
     file name)."""
@@ -288,8 +327,7 @@ class DbfDataSource(DataSource):
         files = lfs.list_files(path, (".dbf",))
         if not files:
             raise FileNotFoundError(f"no .dbf files under {path}")
-        h = read_header(files[0])
-        cols = [f"`{f.name}` {spark_type(f)}" for f in h.fields]
+        cols = [f"`{n}` {t}" for n, t in merged_columns(read_headers(files)).items()]
         if self.options.get("fileNameColumn"):
             cols.append(f"`{self.options['fileNameColumn']}` string")
         return ", ".join(cols)

@@ -45,3 +45,19 @@ def test_record_ranges_and_folder(spark, tmp):
     got = sorted((r.ip_cod, r.qty, r.price, r.active, r.arquivo_origem) for r in df.collect())
     want = sorted((r[0], r[2], r[3], r[6], "a.dbf" if i < 600 else "b.DBF") for i, r in enumerate(many))
     assert got == want
+
+
+def test_schema_merges_all_headers(spark, tmp):
+    specs = {"a.dbf": ([("id", "N", 4, 0), ("qty", "N", 4, 0), ("big", "N", 18, 0), ("code", "N", 5, 0)],
+                       [(1, 3, 123456789012345678, 7), (2, None, None, None)]),
+             "b.dbf": ([("id", "N", 9, 0), ("qty", "N", 8, 1), ("big", "N", 8, 1), ("code", "C", 5, 0),
+                        ("extra", "C", 4, 0)], [(300000000, 2.5, 0.5, "x7", "new")])}
+    for name, (spec, rows) in specs.items():
+        with open(os.path.join(tmp, name), "wb") as fh:
+            fh.write(encode_dbf(rows, dbf_fields(spec)))
+    df = read_dbf(spark, tmp)
+    assert df.dtypes == [("id", "bigint"), ("qty", "double"), ("big", "string"), ("code", "string"),
+                         ("extra", "string")]
+    assert sorted(map(tuple, df.collect())) == [
+        (1, 3.0, "123456789012345678", "7", None), (2, None, None, None, None),
+        (300000000, 2.5, "0.5", "x7", "new")]
