@@ -97,7 +97,7 @@ def sainte_lague(parties: DataFrame, group: list[str], key: list[str]) -> DataFr
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
                 text_col: str = "text", weights: DataFrame | None = None, share: float = 1.5,
                 repeats: int = 2, block_words: int = 16, shard_docs: int = 4096,
-                max_shards: int = 100_000, seed: int = 7) -> DataFrame:
+                max_shards: int = 100_000, shard_words: int = 4096, seed: int = 7) -> DataFrame:
     """One row per input row: id, source, size, source_size, target, taken.
 
     ``weights(source, weight)`` defaults to 3, 1, 2 repeating over the sources
@@ -110,19 +110,27 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     (id, source, size) rows move, in one shuffle on (source, shard). Shards
     are hash slices of the whole table, so a source with a third of all rows
     is spread over all of them. Their number is at most ``max_shards``, which
-    bounds the quota windows.
+    bounds the quota windows. A source with less than ``shard_words`` words a
+    shard has fewer of them: a shard's last block may be short, and in shards
+    of few words that would be much of the source.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     sized = scratch.write(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                                       word_count(F.col(text_col)).alias("size")), "sized")
     shards_n = max(1, min(max_shards, math.ceil(sized.count() / shard_docs)))
     sized = _keyed(sized).withColumn(
-        "shard", (_number(f"{seed + 1}", F.col("doc_id")) % shards_n).cast("int"))
+        "slice", (_number(f"{seed + 1}", F.col("doc_id")) % shards_n).cast("int"))
     key, shard_key = ["_nul", "_src"], ["_nul", "_src", "shard"]
 
-    shards = scratch.write(sized.groupBy("source", *shard_key).agg(F.sum("size").alias("words")), "shards")
-    sources = scratch.write(shards.groupBy("source", *key).agg(F.sum("words").alias("source_size")),
+    slices = scratch.write(sized.groupBy("source", *key, "slice").agg(F.sum("size").alias("words")), "slices")
+    sources = scratch.write(slices.groupBy("source", *key).agg(F.sum("words").alias("source_size")),
                             "sources")
+    own = F.greatest(F.lit(1), F.least(F.lit(shards_n), F.floor(F.col("source_size") / shard_words)))
+    slices = scratch.write(slices.join(sources.drop("source"), key).withColumn(
+        "shard", (F.col("slice") % own).cast("int")).drop("source_size"), "merged")
+    shards = scratch.write(slices.groupBy("source", *shard_key).agg(F.sum("words").alias("words")), "shards")
+    # by slice, so that a source with many rows meets in no one task
+    sized = sized.join(slices.select(*key, "slice", "shard"), [*key, "slice"])
     w = _keyed(weights if weights is not None else cyclic_weights(sources)).drop("source")
     weighted = scratch.write(sources.join(w, key, "left").withColumn(
         "weight", F.coalesce(F.col("weight").cast("double"), F.lit(0.0))), "weighted")
@@ -138,9 +146,12 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     quotas = scratch.write(per_shard.drop("seats", "source").join(
         seats.withColumnRenamed("seats", "quota"), shard_key), "quotas")
 
-    stream = (W.partitionBy(*shard_key).orderBy("_order", "doc_id", "size")
+    # documents without words take none, wherever they stand: however many a
+    # source has, they stay apart by slice
+    stream = (W.partitionBy(*shard_key, "_idle").orderBy("_order", "doc_id", "size")
               .rowsBetween(W.unboundedPreceding, 0))
     placed = (sized.withColumn("_order", _digest(f"{seed}", F.col("doc_id")))
+              .withColumn("_idle", F.when(F.col("size") == 0, F.col("slice")).otherwise(-1))
               .withColumn("_end", F.sum("size").over(stream)))
     taken = _draw(F.col("_end") - F.col("size"), F.col("_end"), F.col("words"), F.col("quota"),
                   block_words, repeats, seed)

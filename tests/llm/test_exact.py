@@ -73,6 +73,19 @@ def test_mix_targets_and_draw(documents):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_mix_of_a_short_source_in_a_large_table(llm):
+    rows = [(i, "w " * 60, "big") for i in range(4000)] + [(4000 + i, "a b c d e", "small") for i in range(200)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    taken, target = Counter(), {}
+    for r in mixing.mix_sources(docs, shard_docs=4).collect():
+        source = "big" if r.doc_id < 4000 else "small"
+        taken[source] += r.taken
+        target[source] = r.target
+    assert target["small"] == 2000
+    for s in target:
+        assert abs(taken[s] - target[s]) <= max(16, target[s] / 100), s
+
+
 def test_sainte_lague_is_highest_quotients(llm):
     rnd = random.Random(5)
     parties = [("g%d" % g, k, float(rnd.choice([0, 1, 5, 5, 40, rnd.randint(1, 900)])), pool)
