@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import (chat, decontam, language, mixing, quality, simhash, substrings, tokens,
-                          topk, toxicity)
+from lakeloom.llm import (alignment, chat, decontam, language, mixing, pii, quality, simhash, spelling,
+                          substrings, tokens, topk, toxicity)
 from lakeloom.llm.common import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,9 +87,28 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Form and root of every word of at least 7 letters that occurs twice."""
+    prepare(spark)
+    return spelling.spelling_variants(read_table(spark, sf, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignment of the byte-level and the piece vocabulary in every document."""
+    prepare(spark)
+    return alignment.align_tokenizers(read_table(spark, sf, "documents"))
+
+
+def op13_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of every document."""
+    prepare(spark)
+    docs = read_table(spark, sf, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_mixing, op2_simhash, op3_toxicity, op4_suffix_dedup, op5_chat_format, op6_token_counts,
-    op7_quality, op8_decontamination, op9_top_k, op10_language)}
+    op7_quality, op8_decontamination, op9_top_k, op10_language, op11_spelling, op12_alignment, op13_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -188,3 +207,42 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+# crc32 by its table over the bytes of every run; words one edit apart share a
+# word with one code point deleted, at the same place where both lose one
+ORACLE_SQL["op11_spelling"] = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+         count(*) AS m
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+              range(0, strlen(id || ':' || w)), lambda i: ('0x' || substr(hex(id || ':' || w), 2 * i + 1, 2))::BIGINT)),
+            lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM runs, tab),
+slips AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(w, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, m
+  FROM coded),
+words AS (SELECT word, sum(m)::BIGINT AS n FROM slips WHERE length(word) >= 7 GROUP BY word HAVING sum(m) >= 2),
+del AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS k
+        FROM words, LATERAL (SELECT unnest(range(0, length(word))) AS i)),
+near AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM del x JOIN del y ON x.k = y.k AND x.i = y.i AND x.word <> y.word
+  UNION SELECT d.word, w.word, w.n FROM del d JOIN words w ON d.k = w.word
+  UNION SELECT w.word, d.word, d.n FROM del d JOIN words w ON d.k = w.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk w USING (word) JOIN forms e ON e.word = w.root WHERE e.form IS NULL
+"""
