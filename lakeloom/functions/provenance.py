@@ -19,13 +19,16 @@ def with_source_file(df: DataFrame, name: str = SOURCE_FILE_COLUMN) -> DataFrame
 
     Must be applied to a file scan before any shuffle or union. Uses the
     hidden ``_metadata.file_name`` column of file sources (no per-row UDF,
-    survives column pruning); falls back to ``input_file_name()`` for
-    sources without it.
+    survives column pruning). A frame that has the column already, because
+    its reader was asked for it, stays as it is; one that no longer knows its
+    files is refused.
     """
+    if name in df.columns:
+        return df
     try:
         return df.withColumn(name, F.col("_metadata.file_name"))
-    except AnalysisException:
-        return df.withColumn(name, F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    except AnalysisException as exc:
+        raise ValueError(f"the frame does not know its files: have the reader add {name} (source_file=)") from exc
 
 
 def file_name_attrs(file_name: Column | str, pattern: str = FILE_NAME_PATTERN) -> dict[str, Column]:

@@ -24,7 +24,7 @@ from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
 from lakeloom.sources.dbf import read_dbf
 from lakeloom.sources.fixed_width import CNV_GLOB, LOOKUP_ENCODING, FixedField, read_fixed_width
 from lakeloom.spec import (CATALOG_DIMENSIONS, FACT_COLUMNS, FACT_FOREIGN_KEYS, FACT_TABLE,
-                           MUNICIPALITY_TABLE, STAGING_TABLE, STATE_TABLE)
+                           MUNICIPALITY_TABLE, SOURCE_FILE_COLUMN, STAGING_TABLE, STATE_TABLE)
 
 # --- fixed values: raw-zone sub-folder of each source ---
 RAW_FOLDERS = {
@@ -113,7 +113,7 @@ def load_lake(spark: SparkSession, raw_root: str, target_for: Callable[[str], Ta
     fact_src = f"{root}/{RAW_FOLDERS['sih']}"
     go = status is None or should_load_fact(status)
     try:
-        scan = read_declared_csv(spark, fact_src, FACT_COLUMNS) if go else None
+        scan = read_declared_csv(spark, fact_src, FACT_COLUMNS, source_file=SOURCE_FILE_COLUMN) if go else None
     except AnalysisException as exc:
         if not _absent(exc):
             raise

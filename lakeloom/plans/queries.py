@@ -235,6 +235,42 @@ def declared_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_declared_csv(spark, path, LINEITEM_CSV_SPEC)
 
 
+CONVERSATION_SPEC = [("conv", "bigint"), ("turn", "int"), ("said", "string"), ("by", "string"), ("turn_text", "bigint")]
+
+
+def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations published as CSV with quotes, separators, blanks and
+    line breaks of both kinds in their texts, scanned back by position."""
+    c = table(spark, sf, "conversations")
+    said = F.concat(F.lit(' "'), F.col("role"), F.lit('",\n\n'), F.col("text"), F.lit(' ,"\r\n'), F.col("text"), F.lit("\n "))
+    path = scratch_path(spark, "csv-line-breaks")
+    write(c.select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, F.col("text")).otherwise(said).alias("said"),
+                   "role", F.col("text").alias("turn_text")), Target.path(path, "csv"))
+    return read_declared_csv(spark, path, CONVERSATION_SPEC)
+
+
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Events delivered in three drops that each write their own layout: the
+    second reorders the columns, upper-cases them and has properties with line
+    breaks, the third lacks the type, adds a column and has wider numbers and
+    times instead of dates. Read as one table by name."""
+    e = table(spark, sf, "events").withColumn("drop", F.col("event_id") % 3)
+    day = F.date_format(F.col("ts").cast("date"), "yyyy-MM-dd")
+    root = scratch_path(spark, "schema-drift")
+    first = e.where("drop = 0").select("event_id", "event_type", (F.col("user_id") % 100).alias("amount"), "props",
+                                       day.alias("seen"))
+    second = e.where("drop = 1").select(day.alias("SEEN"), F.concat(F.lit("a\n"), "props").alias("PROPS"),
+                                        (F.col("user_id") + 3_000_000_000).alias("Amount"), F.col("event_id").alias("EVENT_ID"),
+                                        F.col("event_type").alias("Event_Type"))
+    third = e.where("drop = 2").select("event_id", (F.col("user_id") + 0.5).alias("amount"), "props",
+                                       F.concat(day, F.lit(" 12:30:00")).alias("seen"), F.col("user_id").alias("added"))
+    for k, part in enumerate((first, second, third)):
+        write(part, Target.path(f"{root}/drop-{k}", "csv"))
+    return (read_inferred_csv(spark, f"{root}/drop-*")
+            .select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", "amount", "props",
+                    F.date_format("seen", "yyyy-MM-dd HH:mm:ss").alias("seen"), F.col("added").cast("bigint").alias("added")))
+
+
 def inferred_csv(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
     path = scratch_path(spark, "inferred-csv")
@@ -496,6 +532,8 @@ QUERIES: dict[str, Query] = {
     "fixed_width_audit": fixed_width_audit,
     "lenient_cast": lenient_cast,
     "declared_csv": declared_csv,
+    "csv_line_breaks": csv_line_breaks,
+    "schema_drift": schema_drift,
     "inferred_csv": inferred_csv,
     "manifest_grid": manifest_grid,
     "skip_landed": skip_landed_query,
@@ -659,6 +697,18 @@ ORACLE_SQL: dict[str, str] = {
          l_quantity AS quantity, CAST(NULL AS BIGINT) AS returnflag, l_linestatus AS linestatus,
          l_extendedprice AS extendedprice
   FROM lineitem""",
+    "csv_line_breaks": """
+  SELECT conv_id AS conv, CAST(turn AS INTEGER) AS turn, role AS "by", CAST(NULL AS BIGINT) AS turn_text,
+         CASE WHEN turn % 3 = 0 THEN text
+              ELSE ' "' || role || e'",\n\n' || text || e' ,"\r\n' || text || e'\n ' END AS said
+  FROM conversations""",
+    "schema_drift": """
+  SELECT event_id, CASE WHEN event_id % 3 < 2 THEN event_type END AS event_type,
+         CASE event_id % 3 WHEN 0 THEN user_id % 100 WHEN 1 THEN user_id + 3000000000 ELSE user_id + 0.5::DOUBLE END AS amount,
+         CASE WHEN event_id % 3 = 1 THEN e'a\n' || props ELSE props END AS props,
+         strftime(ts, '%Y-%m-%d') || CASE WHEN event_id % 3 = 2 THEN ' 12:30:00' ELSE ' 00:00:00' END AS seen,
+         CASE WHEN event_id % 3 = 2 THEN user_id END AS added
+  FROM events""",
     "inferred_csv": """
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "manifest_grid": _GRID,

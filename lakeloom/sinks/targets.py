@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakeloom import fs as lfs
 from lakeloom.functions.coerce import jdbc_safe
-from lakeloom.sources.csv import CSV_DIALECT
+from lakeloom.sources.csv import CSV_DIALECT, read_declared_csv, read_inferred_csv
 
 
 @dataclass(frozen=True)
@@ -104,11 +104,17 @@ def write(df: DataFrame, t: Target, mode: str = "overwrite") -> None:
 
 def read(spark: SparkSession, t: Target, schema: T.StructType | None = None) -> DataFrame:
     """Read a target back; ``schema`` gives the types of a CSV folder as they
-    were written (inferred otherwise)."""
+    were written (inferred otherwise). Line breaks in CSV values come back;
+    a partitioned CSV folder, or one with options of its own, is read file by
+    file for that."""
     if t.kind == "path":
         r = spark.read.format(t.fmt)
         if t.fmt == "csv":
-            r = r.options(**CSV_DIALECT)
+            if not t.partition_by and not t.options:
+                if schema is None:
+                    return read_inferred_csv(spark, t.location)
+                return read_declared_csv(spark, t.location, [(f.name, f.dataType.simpleString()) for f in schema])
+            r = r.options(**CSV_DIALECT).option("multiLine", True)
             r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
         return r.options(**t.options).load(t.location)
     if t.kind == "table":
