@@ -99,10 +99,10 @@ def read_inferred_csv(spark: SparkSession, path: str | list[str], sep: str = ","
 
     Inference costs extra passes: one for headers and line breaks, one for the
     types of the values (``sampling_ratio`` < 1 takes a sample for that). Files
-    of one layout without line breaks are read by Spark's reader.
+    of one header without line breaks are read by Spark's reader.
     """
     found = survey(spark, path, sep, encoding, glob, recursive)
-    if len(found.layouts) <= 1 and not found.line_breaks:
+    if found.headers <= 1 and not found.line_breaks:
         df = (_reader(spark, sep, encoding, glob, recursive)
               .option("inferSchema", True)
               .option("samplingRatio", sampling_ratio)

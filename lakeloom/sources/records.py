@@ -66,6 +66,7 @@ class Survey:
     record holds a line break."""
     splits: DataFrame          # file, start, inside, layout
     layouts: list[tuple[str, ...]]
+    headers: int               # different header texts
     line_breaks: bool
     crossing: bool             # a record is open at the end of its split
 
@@ -194,7 +195,7 @@ def survey(spark: SparkSession, path: str | list[str], sep: str = ",", encoding:
     splits.write.parquet(f"{root}/splits")
     splits = spark.read.schema(splits.schema).parquet(f"{root}/splits")
     any_ = splits.agg(F.max("breaks").alias("breaks"), F.max("open").alias("open")).first()
-    return Survey(splits.drop("breaks", "open"), layouts, bool(any_.breaks), bool(any_.open))
+    return Survey(splits.drop("breaks", "open"), layouts, len(headers), bool(any_.breaks), bool(any_.open))
 
 
 def header_names(header: str, sep: str = ",") -> tuple[str, ...]:

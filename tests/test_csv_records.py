@@ -152,6 +152,9 @@ def test_columns_bind_by_name_across_layouts(spark, tmp):
     put(f"{tmp}/d", "b.csv", "cod,id,extra\n30,3,\"x\ny\"\n")
     put(f"{tmp}/d", "c.csv", "id\n4\n")
     put(f"{tmp}/d", "d.csv", "cod,id\n")
+    put(f"{tmp}/e", "a.csv", "A,b\n1,x\n")
+    put(f"{tmp}/e", "b.csv", "a,B\n2,z\n")
+    assert rows(read_inferred_csv(spark, f"{tmp}/e")) == Counter({(1, "x"): 1, (2, "z"): 1})
     df = read_inferred_csv(spark, f"{tmp}/d", source_file="src")
     assert dict(df.dtypes) == {"id": "int", "cod": "int", "extra": "string", "src": "string"}
     assert {(r.id, r.cod, r.extra, r.src) for r in df.collect()} == {
@@ -186,9 +189,9 @@ def test_header_names():
 
 def test_one_layout_without_breaks_stays_with_the_plain_reader(spark, tmp):
     put(tmp, "a.csv", 'A,b\n1,"x, y"\n')
-    put(tmp, "b.csv", "a,B\n2,z\n")
+    put(tmp, "b.csv", "A,b\n2,z\n")
     found = survey(spark, tmp)
-    assert found.layouts == [("a", "b")] and not found.line_breaks and not found.crossing
+    assert found.layouts == [("a", "b")] and found.headers == 1 and not found.line_breaks and not found.crossing
     plan = read_inferred_csv(spark, tmp)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "csv" in plan.lower()
     assert rows(read_inferred_csv(spark, tmp)) == Counter({(1, "x, y"): 1, (2, "z"): 1})
