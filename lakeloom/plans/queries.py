@@ -36,6 +36,7 @@ from lakeloom.sources.dbf import dbf_fields, encode_dbf, read_dbf
 from lakeloom.sources.fixed_width import (LOOKUP_ENCODING, MUNICIPALITY_LAYOUT,
                                           fixed_width_file_report, fixed_width_rejects,
                                           read_fixed_width)
+from lakeloom.sources.quarantine import FolderLoad, load_fixed_width_folder
 from lakeloom.sources.static_dims import STATIC_DIMENSIONS, static_dimension
 from lakeloom.streaming.landing import land_new_files
 
@@ -150,12 +151,12 @@ def _lpad(c: Column, n: int) -> Column:
     return F.lpad(c.cast("string"), n, " ")
 
 
-def _customer_lines(c: DataFrame, id_text: Column, cod_text: Column) -> DataFrame:
+def _customer_lines(c: DataFrame, id_text: Column, cod_text: Column, *carry: str) -> DataFrame:
     name = F.concat(F.when(F.col("c_mktsegment") == "BUILDING", F.lit(" ")).otherwise(F.lit("")),
                     F.col("c_name"), F.lit(", "), F.col("c_mktsegment"))
     line = F.concat(_lpad(id_text, 7), F.lit("  "), _lpad(cod_text, 6), F.lit(" "),
                     F.rpad(name, 43, " "), F.lit("   \t"))
-    return c.select(line.alias("line"))
+    return c.select(line.alias("line"), *carry)
 
 
 def fixed_width(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,6 +203,48 @@ def fixed_width_audit(spark: SparkSession, sf: str) -> DataFrame:
                           for c in ("lines", "kept", "rejected", "blank")])
 
 
+def _folder_with_bad_files(spark: SparkSession, sf: str) -> FolderLoad:
+    """Customers as lookup files of 50 each, plain and compressed, some of
+    them with bytes that are no text, cut off, or with invalid integers."""
+    import gzip
+
+    folder = f"{scratch_path(spark, 'folder')}/files"
+    c = table(spark, sf, "customer")
+    id_text = F.when(F.col("c_custkey") % 500 == 77, F.lit("x1")).otherwise(F.col("c_custkey").cast("string"))
+    lines = _customer_lines(c.where("c_custkey IS NOT NULL"), id_text, F.col("c_nationkey").cast("string"), "c_custkey")
+    of_file = F.floor(F.col("c_custkey") / 50).cast("bigint")
+
+    def write_file(key, pdf):
+        from lakeloom import fs as lfs
+        k = int(key[0])
+        data = "".join(x + "\n" for x in pdf.sort_values("c_custkey")["line"]).encode("utf-8")
+        name = f"c{k:08d}.cnv"
+        if k % 5 == 1:
+            data = data.replace(b"Customer", b"Cust\xffmer", 1)
+        if k % 5 in (2, 3):
+            name, data = name + ".gz", gzip.compress(data, mtime=0)
+        if k % 5 == 2:
+            data = data[:len(data) // 2]
+        fs, p = lfs.resolve(f"{folder}/{name}")
+        fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(p, compression=None) as out:
+            out.write(data)
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    lines.groupBy(of_file.alias("k")).applyInPandas(write_file, "n long").write.format("noop").mode("overwrite").save()
+    return load_fixed_width_folder(spark, folder, MUNICIPALITY_LAYOUT, encoding="UTF-8")
+
+
+def folder_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the files that could be read, none of the others."""
+    return _folder_with_bad_files(spark, sf).rows
+
+
+def folder_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every file."""
+    return _folder_with_bad_files(spark, sf).report
+
+
 # --------------------------------------------------------------------------
 # CSV scans and lenient typing
 # --------------------------------------------------------------------------
@@ -530,6 +573,8 @@ QUERIES: dict[str, Query] = {
     "strict_int_rows": strict_int_rows,
     "fixed_width_rejects": fixed_width_rejects_query,
     "fixed_width_audit": fixed_width_audit,
+    "folder_rows": folder_rows,
+    "folder_report": folder_report,
     "lenient_cast": lenient_cast,
     "declared_csv": declared_csv,
     "csv_line_breaks": csv_line_breaks,
@@ -688,6 +733,22 @@ ORACLE_SQL: dict[str, str] = {
          count(CASE WHEN c_acctbal < 0 OR c_mktsegment = 'AUTOMOBILE' THEN 1 END) AS rejected,
          CAST(0 AS BIGINT) AS blank
   FROM customer""",
+    "folder_rows": f"""
+  SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS cod_ibge, {_customer_name_sql()} AS municipio,
+         'c' || lpad(CAST(c_custkey // 50 AS VARCHAR), 8, '0') || CASE WHEN c_custkey // 50 % 5 = 3 THEN '.cnv.gz' ELSE '.cnv' END
+           AS file_name
+  FROM customer WHERE c_custkey // 50 % 5 NOT IN (1, 2) AND c_custkey % 500 <> 77""",
+    "folder_report": """
+  WITH f AS (
+    SELECT c_custkey // 50 AS k, count(*) AS lines, count(CASE WHEN c_custkey % 500 = 77 THEN 1 END) AS rejected
+    FROM customer GROUP BY 1)
+  SELECT 'c' || lpad(CAST(k AS VARCHAR), 8, '0') || CASE WHEN k % 5 IN (2, 3) THEN '.cnv.gz' ELSE '.cnv' END AS file_name,
+         CASE WHEN k % 5 IN (1, 2) THEN 'failed' WHEN rejected > 0 THEN 'rejected' ELSE 'read' END AS status,
+         CASE WHEN k % 5 IN (1, 2) THEN 0 ELSE lines END AS lines,
+         CASE WHEN k % 5 IN (1, 2) THEN 0 ELSE lines - rejected END AS kept,
+         CASE WHEN k % 5 IN (1, 2) THEN 0 ELSE rejected END AS rejected, CAST(0 AS BIGINT) AS blank,
+         CASE k % 5 WHEN 1 THEN '1 lines are not UTF-8' WHEN 2 THEN 'cannot be unpacked: EOFError' END AS reason
+  FROM f""",
     "lenient_cast": """
   SELECT event_id, user_id, CAST(NULL AS BIGINT) AS event_type, value,
          TRY_CAST(props AS BIGINT) AS props

@@ -72,16 +72,16 @@ def decode_lines(spark: SparkSession, path: str | list[str], encoding: str,
     )
 
 
-def _parse(lines: DataFrame, layout: tuple[FixedField, ...]) -> DataFrame:
+def parse_lines(lines: DataFrame, layout: tuple[FixedField, ...], carry: tuple[str, ...] = ()) -> DataFrame:
     """Slice every field once, then derive the typed values and two row
     flags: ``__valid`` (every int field blank or an integer) and ``__blank``
-    (every field blank)."""
+    (every field blank). ``carry`` names further columns of the lines to keep."""
     # The slices go through a one-row generator so each is computed once per
     # line: plain projections would be inlined into every use (validity,
     # blank flag, typed value and the pushed-down filter), repeating the
     # string work several times per field.
     sliced = lines.select(
-        "line", "file_name",
+        "line", "file_name", *carry,
         F.inline(F.array(F.struct(*[fixed_width_field("line", f.start, f.size).alias(f"__raw_{f.name}")
                                     for f in layout]))))
     valid = F.lit(True)
@@ -95,7 +95,7 @@ def _parse(lines: DataFrame, layout: tuple[FixedField, ...]) -> DataFrame:
             typed.append(strict_int(raw).alias(f.name))
         else:
             typed.append(raw.alias(f.name))
-    return sliced.select("line", "file_name", *typed,
+    return sliced.select("line", "file_name", *carry, *typed,
                          valid.alias("__valid"), all_blank.alias("__blank"))
 
 
@@ -112,7 +112,7 @@ def read_fixed_width(spark: SparkSession, path: str | list[str],
     folder (``glob`` e.g. :data:`CNV_GLOB`). An unreadable file fails the job
     unless ``ignore_corrupt``, which keeps the lines read before the fault.
     """
-    parsed = _parse(decode_lines(spark, path, encoding, glob, ignore_corrupt), layout)
+    parsed = parse_lines(decode_lines(spark, path, encoding, glob, ignore_corrupt), layout)
     keep = F.col("__valid") if keep_blank_rows else (F.col("__valid") & ~F.col("__blank"))
     out = [f.name for f in layout] + (["file_name"] if with_file_name else [])
     return parsed.filter(keep).select(*out)
@@ -123,7 +123,7 @@ def fixed_width_rejects(spark: SparkSession, path: str | list[str],
                         glob: str | None = None) -> DataFrame:
     """Lines that failed integer validation, with their file: the audit trail
     for rows the scan drops."""
-    parsed = _parse(decode_lines(spark, path, encoding, glob), layout)
+    parsed = parse_lines(decode_lines(spark, path, encoding, glob), layout)
     return parsed.filter(~F.col("__valid")).select("file_name", "line")
 
 
@@ -133,7 +133,7 @@ def fixed_width_file_report(spark: SparkSession, path: str | list[str],
     """Per input file: lines read, rows kept, lines rejected for a bad
     integer and all-blank lines dropped. One aggregation (partial before the
     shuffle) over the parsed lines."""
-    parsed = _parse(decode_lines(spark, path, encoding, glob), layout)
+    parsed = parse_lines(decode_lines(spark, path, encoding, glob), layout)
     valid, blank = F.col("__valid"), F.col("__blank")
     return parsed.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("lines"),
