@@ -6,12 +6,20 @@ from __future__ import annotations
 import pyarrow.fs as pafs
 
 
+# --- fixed values: Hadoop's names of schemes that pyarrow calls otherwise ---
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "gcs": "gs"}
+
+
 def resolve(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
+    """Filesystem and path of a URI as Spark writes it."""
+    scheme, sep, rest = uri.partition("://")
+    if sep and scheme in SCHEMES:
+        uri = f"{SCHEMES[scheme]}://{rest}"
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(uri.replace(" ", "%20"))
 
 
 def exists(uri: str) -> bool:

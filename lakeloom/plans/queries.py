@@ -32,7 +32,7 @@ from lakeloom.session import scratch_path
 from lakeloom.sinks.targets import Target, create_if_absent, publish_zone, write
 from lakeloom.sources.catalog import read_table, register_external_table
 from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
-from lakeloom.sources.dbf import dbf_fields, encode_dbf, read_dbf
+from lakeloom.sources.dbf import dbf_fields, encode_dbf, encode_memos, read_dbf
 from lakeloom.sources.fixed_width import (LOOKUP_ENCODING, MUNICIPALITY_LAYOUT,
                                           fixed_width_file_report, fixed_width_rejects,
                                           read_fixed_width)
@@ -544,6 +544,45 @@ def dbf_scan(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumnRenamed("c_nation", "c_nationkey")
 
 
+ORDER_DBF = [("okey", "N", 10, 0), ("wide", "N", 20, 0), ("price", "Y", 8, 4), ("total", "B", 8, 0),
+             ("placed", "T", 8, 0), ("status", "C", 12, 0), ("note", "M", 4, 0)]
+
+
+def dbf_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as FoxPro tables with wide whole numbers, currency, doubles and
+    times in binary and notes in memo files, in code page 850; every third
+    order has no note. Files lie in sub-folders by year."""
+    folder = f"{scratch_path(spark, 'dbf-typed')}/tables"
+    fields = dbf_fields(ORDER_DBF)
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
+
+    def write_files(batches):
+        from pyspark import TaskContext
+
+        from lakeloom import fs as lfs
+        pid = TaskContext.get().partitionId()
+        for i, pdf in enumerate(batches):
+            for year, part in pdf.groupby(pdf["o_orderdate"].dt.year):
+                notes = [None if k % 3 == 0 else f"nº {k}\r\n{p} ç".encode("cp850") * (1 + k % 3)
+                         for k, p in zip(part["o_orderkey"].tolist(), part["o_orderpriority"])]
+                memo, at = encode_memos(notes)
+                rows = [(k, k + 12345678901234567890, x, x / 3, d.to_pydatetime(), f"é{s}", n or None)
+                        for k, x, d, s, n in zip(part["o_orderkey"].tolist(), part["o_totalprice"].tolist(),
+                                                 part["o_orderdate"], part["o_orderstatus"], at)]
+                data = encode_dbf(rows, fields, encoding="cp850", version=0x30, code_page=0x02)
+                for ext, content in (("dbf", data), ("fpt", memo)):
+                    fs, p = lfs.resolve(f"{folder}/{year}/part-{pid:05d}-{i:05d}.{ext}")
+                    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                    with fs.open_output_stream(p) as out:
+                        out.write(content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    o.mapInPandas(write_files, "n long").write.format("noop").mode("overwrite").save()
+    df = read_dbf(spark, folder, partition_bytes=256 * 1024, recursive=True)
+    return df.select("okey", F.col("wide").cast("string").alias("wide"), F.col("price").cast("string").alias("price"), "total",
+                     F.date_format("placed", "yyyy-MM-dd HH:mm:ss").alias("placed"), "status", "note")
+
+
 # --------------------------------------------------------------------------
 # streaming landing
 # --------------------------------------------------------------------------
@@ -594,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "register_table": register_table_query,
     "zone_publish": zone_publish,
     "dbf_scan": dbf_scan,
+    "dbf_typed": dbf_typed,
     "stream_landing": stream_landing,
 }
 
@@ -825,6 +865,13 @@ ORACLE_SQL: dict[str, str] = {
     "dbf_scan": """
   SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal
   FROM customer WHERE c_acctbal >= 0""",
+    "dbf_typed": """
+  SELECT o_orderkey AS okey, CAST(CAST(o_orderkey AS HUGEINT) + 12345678901234567890 AS VARCHAR) AS wide,
+         CAST(CAST(o_totalprice AS DECIMAL(19, 4)) AS VARCHAR) AS price, o_totalprice / 3 AS total,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed, 'é' || o_orderstatus AS status,
+         CASE WHEN o_orderkey % 3 <> 0 THEN
+           repeat('nº ' || CAST(o_orderkey AS VARCHAR) || e'\r\n' || o_orderpriority || ' ç', CAST(1 + o_orderkey % 3 AS INTEGER)) END AS note
+  FROM orders""",
     "stream_landing": """
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""",
 }
