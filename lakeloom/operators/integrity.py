@@ -182,3 +182,30 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
         "target_unique",
         (F.coalesce(F.col("orphan_rows"), zero) == 0).alias("ok"),
     )
+
+
+def compare_copies(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Are two published copies the same rows, repeats counted (K3)?
+
+    One row: (first_rows, second_rows, differing_rows, ok). Columns are matched
+    by name. Every row is folded to a 128-bit digest and the copies' counts
+    are added per digest with opposite signs, summed within each task before
+    the shuffle.
+    """
+    names = sorted(first.columns)
+    if names != sorted(second.columns):
+        raise ValueError(f"copies differ in their columns: {sorted(set(names) ^ set(second.columns))}")
+
+    def digests(df: DataFrame, sign: int) -> DataFrame:
+        cols = [F.col(f"`{n}`") for n in names]
+        # which columns are NULL is part of the row: a hash skips NULLs
+        nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+        return df.select(F.xxhash64(nulls, *cols).alias("a"), F.xxhash64(F.lit("b"), *cols[::-1], nulls).alias("b"),
+                         F.lit(sign).alias("side"))
+
+    both = digests(first, 1).unionByName(digests(second, -1))
+    per = both.groupBy("a", "b").agg(F.sum("side").alias("left_over"), F.count_if(F.col("side") == 1).alias("n1"),
+                                     F.count_if(F.col("side") == -1).alias("n2"))
+    zero = F.lit(0).cast("bigint")
+    return per.agg(F.coalesce(F.sum("n1"), zero).alias("first_rows"), F.coalesce(F.sum("n2"), zero).alias("second_rows"),
+                   F.coalesce(F.sum(F.abs("left_over")), zero).alias("differing_rows")).withColumn("ok", F.col("differing_rows") == 0)

@@ -44,8 +44,8 @@ def load_dimension(spark: SparkSession, build: Callable[[], DataFrame], target:
         if not has_rows(src):
             action = "empty"
         else:
-            create_if_absent(spark, target, lambda: jdbc_safe(src))
-            action = "written"
+            # another loader may have been there first
+            action = "written" if create_if_absent(spark, target, lambda: jdbc_safe(src)) else "exists"
     status = _status(spark, table_name, action)
     if action == "empty":
         return status

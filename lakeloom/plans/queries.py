@@ -21,16 +21,16 @@ from lakeloom.functions.coerce import apply_spec, jdbc_safe
 from lakeloom.functions.keys import key_prefix, normalised_key
 from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.functions.text import parse_state_list
-from lakeloom.operators.integrity import fk_report, pk_report
+from lakeloom.operators.integrity import compare_copies, fk_report, pk_report
 from lakeloom.operators.lookup import lookup_enrich
 from lakeloom.operators.manifest import (RANK_EXISTS, RANK_IGNORED, RANK_SUCCESS, any_new_data,
                                          coverage_status_ranked, landed_as_raw,
                                          period_state_grid_from, skip_landed)
 from lakeloom.operators.star import StarEdge, star_join
-from lakeloom.plans.loads import load_fact, municipality_dimension
+from lakeloom.plans.loads import load_dimension, load_fact, municipality_dimension
 from lakeloom.session import scratch_path
-from lakeloom.sinks.targets import Target, create_if_absent, publish_zone, write
-from lakeloom.sources.catalog import read_table, register_external_table
+from lakeloom.sinks.targets import Target, create_if_absent, publish_zone, read, write
+from lakeloom.sources.catalog import read_table, register_external_table, replace_columns
 from lakeloom.sources.csv import read_declared_csv, read_inferred_csv
 from lakeloom.sources.dbf import dbf_fields, encode_dbf, encode_memos, read_dbf
 from lakeloom.sources.fixed_width import (LOOKUP_ENCODING, MUNICIPALITY_LAYOUT,
@@ -456,6 +456,73 @@ def fact_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(fact.location)
 
 
+def fact_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """What a fact load reports: its foreign keys (part keys over a hundred
+    have no dimension row here) beside whether staging and fact are the same."""
+    root = scratch_path(spark, "fact-reports")
+    scan = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    staging, fact = Target.path(f"{root}/st", "csv"), Target.path(f"{root}/fat")
+    dims = {"part": table(spark, sf, "part").where("p_partkey <= 100"), "supplier": table(spark, sf, "supplier")}
+    keys = load_fact(spark, scan, staging, fact, dims,
+                     edges=[("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey")])
+    same = compare_copies(read(spark, staging, read(spark, fact).schema), read(spark, fact))
+    return keys.crossJoin(F.broadcast(same.drop("ok")))  # one row
+
+
+def dimension_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimensions loaded twice: the first load writes and checks keys, the
+    second finds them there. Orders by customer have repeated keys."""
+    root = scratch_path(spark, "dimension-load")
+    out = None
+    for name, key in (("customer", "c_custkey"), ("part", "p_partkey"), ("orders", "o_custkey")):
+        for k in (1, 2):
+            got = load_dimension(spark, lambda name=name: table(spark, sf, name), Target.path(f"{root}/{name}"), name, key)
+            got = got.withColumn("load", F.lit(k))
+            out = got if out is None else out.unionByName(got)
+    return out
+
+
+def atomic_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A refresh that breaks on its way leaves what the first load published."""
+    target = Target.path(scratch_path(spark, "atomic-refresh"), versioned=True)
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    write(c, target)
+    balance = F.when(F.col("c_custkey") % 97 == 5, F.raise_error(F.lit("planted fault")).cast("double"))
+    try:
+        write(c.withColumn("c_acctbal", balance.otherwise(F.col("c_acctbal") + 1)), target)
+    except Exception as exc:  # noqa: BLE001 - the planted fault alone
+        if "planted fault" not in str(exc):
+            raise
+    return read(spark, target)
+
+
+def single_winner(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loaders at once over a folder that an earlier load left half
+    written: every customer is there once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lakeloom import hadoop
+    target = Target.path(scratch_path(spark, "single-winner"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    write(c.where("c_custkey % 2 = 0"), target)
+    hadoop.delete(spark, f"{target.location}/_SUCCESS")
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(lambda _: create_if_absent(spark, target, lambda: c), range(2)))
+    return read(spark, target).withColumn("winners", F.lit(sum(won)))
+
+
+def replace_columns_query(spark: SparkSession, sf: str) -> DataFrame:
+    """A table partitioned by segment, registered with text columns, gets typed
+    ones without its location, keys or options being named again."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    place = scratch_path(spark, "replace-columns")
+    write(c, Target.path(place, "csv", partition_by=("c_mktsegment",)))
+    name = "lakeloom_replace_" + place.rsplit("-", 1)[-1]
+    register_external_table(spark, name, place, [("a", "string"), ("b", "string"), ("c_mktsegment", "string")],
+                            partition_by=["c_mktsegment"])
+    return replace_columns(spark, name, [("custkey", "bigint"), ("acctbal", "double")])
+
+
 def create_if_absent_query(spark: SparkSession, sf: str) -> DataFrame:
     """The first load wins: a second, different load of an existing target
     is skipped and leaves the rows as they were."""
@@ -629,6 +696,11 @@ QUERIES: dict[str, Query] = {
     "star_join": star_join_query,
     "static_dim_lookup": static_dim_lookup,
     "fact_load": fact_load,
+    "fact_reports": fact_reports,
+    "dimension_load": dimension_load,
+    "atomic_refresh": atomic_refresh,
+    "single_winner": single_winner,
+    "replace_columns": replace_columns_query,
     "create_if_absent": create_if_absent_query,
     "register_table": register_table_query,
     "zone_publish": zone_publish,
@@ -853,6 +925,20 @@ ORACLE_SQL: dict[str, str] = {
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
          'lineitem.parquet' AS arquivo_origem
   FROM lineitem""",
+    "fact_reports": f"""
+  SELECT k.*, n AS first_rows, n AS second_rows, CAST(0 AS BIGINT) AS differing_rows FROM (
+    {_fk_sql("l_partkey", "part", "(SELECT * FROM part WHERE p_partkey <= 100)", "p_partkey")}
+    UNION ALL {_fk_sql("l_suppkey", "supplier", "supplier", "s_suppkey")}) k, (SELECT count(*) AS n FROM lineitem)""",
+    "dimension_load": " UNION ALL ".join(
+        f"SELECT *, '{action}' AS action, {k} AS load FROM ({_pk_sql(n, pk)})"
+        for n, pk in (("customer", "c_custkey"), ("part", "p_partkey"), ("orders", "o_custkey"))
+        for k, action in ((1, "written"), (2, "exists"))),
+    "atomic_refresh": """
+  SELECT c_custkey, c_name, c_acctbal FROM customer""",
+    "single_winner": """
+  SELECT c_custkey, c_name, c_acctbal, 1 AS winners FROM customer""",
+    "replace_columns": """
+  SELECT c_custkey AS custkey, c_acctbal AS acctbal, c_mktsegment FROM customer""",
     "create_if_absent": """
   SELECT c_custkey, c_name, c_acctbal FROM customer""",
     "register_table": """
