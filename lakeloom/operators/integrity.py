@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators.keysets import containers, orphan_keys
+from lakeloom.session import scratch_path
+
 PK_REPORT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("pk", T.StringType(), False),
@@ -92,6 +95,70 @@ def fk_report(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
     constraint target at all (unique, no NULL). An edge whose dimension is
     missing from ``dims`` reports every non-NULL key as orphan.
 
+    Edges of integer keys on both sides are checked by bitmaps
+    (:mod:`lakeloom.operators.keysets`) when this is called: one scan of the
+    fact for all of them, and a shuffle of containers. Rows of orphans are
+    counted by a second scan, which only edges with orphans need. Edges with
+    a text key compare as text, by a row per distinct key
+    (:func:`fk_report_by_key`), so an integer code can meet a text key.
+    """
+    edges = list(edges)
+    by_bits = [i for i, (fk, d, k) in enumerate(edges) if d in dims and _is_integral(fact, fk) and _is_integral(dims[d], k)]
+    parts = []
+    if by_bits:
+        parts.append(_fk_by_bitmaps(fact, edges, by_bits, dims))
+    rest = [i for i in range(len(edges)) if i not in set(by_bits)]
+    if rest:
+        parts.append(fk_report_by_key(fact, [edges[i] for i in rest], dims))
+    if not parts:
+        return fact.sparkSession.createDataFrame([], FK_REPORT_SCHEMA)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _fk_by_bitmaps(fact: DataFrame, edges: list[tuple[str, str, str]], which: list[int],
+                   dims: Mapping[str, DataFrame]) -> DataFrame:
+    spark = fact.sparkSession
+    columns = {fk: c for c, fk in enumerate(sorted({edges[i][0] for i in which}))}
+    sets = containers(fact, [(0, c, fk) for fk, c in columns.items()])
+    rows = None
+    # a dimension key is read once for all edges that refer to it
+    for d, k in sorted({edges[i][1:] for i in which}):
+        sides = [(i + 1, columns[edges[i][0]], k) for i in which if edges[i][1:] == (d, k)]
+        sets = sets.unionByName(containers(dims[d], sides))
+        count = dims[d].agg(F.count(F.lit(1)).alias("rows"), F.count(F.col(f"`{k}`")).alias("keyed"))
+        counted = count.select(F.explode(F.array(*[F.lit(s) for s, _, _ in sides])).alias("side"), "rows", "keyed")
+        rows = counted if rows is None else rows.unionByName(counted)
+    place = f"{scratch_path(spark, 'fk-bitmaps')}/found"
+    found = orphan_keys(sets, {i + 1: columns[edges[i][0]] for i in which})
+    found.write.parquet(place)
+    found = spark.read.schema(found.schema).parquet(place)
+
+    per_side = found.groupBy("side").agg(F.count("key").alias("orphan_keys"), F.sum("n").alias("distinct_keys"))
+    names = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("side"), *[F.lit(x).alias(n) for n, x in zip(("fk_column", "dim_table", "dim_key"), edges[i])])
+        for i in which])))
+    report = names.join(rows, "side", "left").join(per_side, "side", "left")
+    dirty = [r.side for r in found.where("key IS NOT NULL").select("side").distinct().collect()]  # edges at most
+    if dirty:
+        pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"`{edges[s - 1][0]}`").cast("bigint").alias("key"))
+                                    for s in dirty])).alias("p")
+        fact_keys = fact.select(pairs).select("p.*").where("key IS NOT NULL").groupBy("side", "key").agg(F.count(F.lit(1)).alias("m"))
+        lost = fact_keys.join(found.where("key IS NOT NULL").select("side", "key"), ["side", "key"])
+        report = report.join(lost.groupBy("side").agg(F.sum("m").alias("orphan_rows")), "side", "left")
+    else:
+        report = report.withColumn("orphan_rows", F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    n = F.coalesce(F.col("orphan_rows"), zero)
+    return report.select(
+        "fk_column", "dim_table", "dim_key", n.alias("orphan_rows"), F.coalesce("orphan_keys", zero).alias("orphan_keys"),
+        ((F.col("rows") == F.col("keyed")) & (F.col("keyed") == F.coalesce("distinct_keys", zero))).alias("target_unique"),
+        (n == 0).alias("ok"))
+
+
+def fk_report_by_key(fact: DataFrame, edges: Sequence[tuple[str, str, str]],
+                     dims: Mapping[str, DataFrame]) -> DataFrame:
+    """:func:`fk_report` by a row per distinct key, for keys of any type.
+
     Plan: the fact is scanned once for all edges. Each row emits one
     ``(edge, key)`` pair per edge and a partial aggregation right after the
     scan collapses them to distinct keys per partition, so the shuffle moves

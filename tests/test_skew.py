@@ -7,7 +7,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators.integrity import fk_report, pk_check
+from lakeloom.operators.integrity import fk_report, fk_report_by_key, pk_check
 from lakeloom.operators.lookup import lookup_enrich
 from lakeloom.operators.star import StarEdge, star_join
 
@@ -75,7 +75,7 @@ def test_star_join_hot_key_is_split(skew_session):
 def test_reports_aggregate_before_shuffle(spark):
     fact = hot_fact(spark)
     dims = {"dim": code_dim(spark)}
-    rep = fk_report(fact, [("code", "dim", "cod")], dims)
+    rep = fk_report_by_key(fact, [("code", "dim", "cod")], dims)  # keys of any type; integers go by bitmaps
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         rep.explain()
