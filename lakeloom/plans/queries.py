@@ -22,6 +22,7 @@ from lakeloom.functions.keys import key_prefix, normalised_key
 from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.functions.text import parse_state_list
 from lakeloom.operators.integrity import compare_copies, fk_report, pk_report
+from lakeloom.operators.ledger import ForeignKeyLedger, KeyLedger
 from lakeloom.operators.lookup import lookup_enrich
 from lakeloom.operators.manifest import (RANK_EXISTS, RANK_IGNORED, RANK_SUCCESS, any_new_data,
                                          coverage_status_ranked, landed_as_raw,
@@ -58,6 +59,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A small result written to the work folder, so that what it was made
+    from can go."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --------------------------------------------------------------------------
 # Provenance, file-name attributes, sink-safe projection
 # --------------------------------------------------------------------------
@@ -414,6 +423,43 @@ def pk_report_query(spark: SparkSession, sf: str) -> DataFrame:
     return pk_report([(name, table(spark, sf, name), pk) for name, pk in PK_CHECKS])
 
 
+def _ledger_name(spark: SparkSession) -> str:
+    return "lakeloom_ledger_" + scratch_path(spark, "ledger").rsplit("-", 1)[-1]
+
+
+def pk_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and line items arrive in three drops, the second one twice;
+    every drop is checked against a key ledger. Customers repeat in orders."""
+    out = None
+    for name, key in (("orders", "o_orderkey"), ("orders", "o_custkey"), ("lineitem", ["l_orderkey", "l_linenumber"])):
+        rows = table(spark, sf, name)
+        ledger = KeyLedger(spark, _ledger_name(spark), key, buckets=8)
+        by = F.col(name[0] + "_orderkey") % 3
+        for k in (0, 1, 1, 2):
+            ledger.add(rows.where(by == k), f"d{k}")
+        got = stored(ledger.report(name), "pk-increments")
+        ledger.remove()
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def fk_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items in two drops, their orders in two drops that come late: an
+    orphan of the first drop finds its order in the second. The last orders
+    never come."""
+    li, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    dim = KeyLedger(spark, _ledger_name(spark), "o_orderkey", buckets=8)
+    fact = ForeignKeyLedger(spark, _ledger_name(spark), "l_orderkey", dim)
+    dim.add(orders.where("o_orderkey % 4 = 0"), "d1")
+    fact.add(li.where("l_linenumber <= 2"), "d1")
+    dim.add(orders.where("o_orderkey % 4 IN (1, 2)"), "d2")
+    fact.add(li.where("l_linenumber > 2"), "d2")
+    out = stored(fact.report("orders"), "fk-increments")
+    fact.remove()
+    dim.remove()
+    return out
+
+
 # --------------------------------------------------------------------------
 # Star join; flagship
 # --------------------------------------------------------------------------
@@ -693,6 +739,8 @@ QUERIES: dict[str, Query] = {
     "any_new_data": any_new_data_query,
     "fk_report": fk_report_query,
     "pk_report": pk_report_query,
+    "pk_increments": pk_increments,
+    "fk_increments": fk_increments,
     "star_join": star_join_query,
     "static_dim_lookup": static_dim_lookup,
     "fact_load": fact_load,
@@ -908,6 +956,9 @@ ORACLE_SQL: dict[str, str] = {
         _fk_sql("l_suppkey", "supplier", "supplier", "s_suppkey"),
     ]),
     "pk_report": " UNION ALL ".join(_pk_sql(n, pk) for n, pk in PK_CHECKS),
+    "pk_increments": " UNION ALL ".join(
+        _pk_sql(n, pk) for n, pk in (("orders", "o_orderkey"), ("orders", "o_custkey"), ("lineitem", ["l_orderkey", "l_linenumber"]))),
+    "fk_increments": _fk_sql("l_orderkey", "orders", "(SELECT * FROM orders WHERE o_orderkey % 4 < 3)", "o_orderkey"),
     "star_join": """
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, 'lineitem.parquet' AS arquivo_origem,
          p.p_name AS part_p_name, p.p_brand AS part_p_brand,
