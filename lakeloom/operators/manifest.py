@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakeloom.functions.files import extension_is, swap_extension
 from lakeloom.functions.text import parse_state_list
@@ -66,6 +67,30 @@ def period_state_grid_from(df: DataFrame, start_month: Column, end_month: Column
     )
 
 
+def period_state_grid_rows(period: DataFrame, states: DataFrame, start_month: str = "first", end_month: str = "last",
+                           state: str = "uf", prefix: str = FILE_PREFIX, extension: str = RAW_EXTENSION) -> DataFrame:
+    """The grid of one period (a row with its first and last month) and the
+    states of a table: trimmed, upper-cased, blanks dropped, each once, in
+    order of their names.
+
+    States stay rows: they are numbered by a window and joined with the months,
+    both of the size of the grid's sides and broadcast by their measured size.
+    """
+    name = F.upper(F.trim(F.col(state)))
+    uf = states.select(name.alias("uf")).where(F.col("uf") != "").distinct()
+    order = Window.partitionBy(F.lit(1)).orderBy("uf")
+    numbered = uf.select("uf", F.row_number().over(order).alias("si"), F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))).alias("ns"),
+                         F.lit(1).alias("__one"))
+    months = F.when(F.col(start_month) <= F.col(end_month),
+                    F.sequence(F.col(start_month), F.col(end_month), F.expr("INTERVAL 1 MONTH")))
+    months = period.select(F.posexplode(F.coalesce(months, F.array().cast("array<date>"))).alias("mi", "month"), F.lit(1).alias("__one"))
+    aamm = F.date_format("month", "yyMM")
+    return months.join(numbered, "__one").select(
+        (F.col("mi") * F.col("ns") + F.col("si") - 1).cast("int").alias("seq"), "uf",
+        F.year("month").cast("int").alias("ano"), F.month("month").cast("int").alias("mes"), aamm.alias("aamm"),
+        F.concat(F.lit(prefix), F.col("uf"), aamm, F.lit("." + extension)).alias("file_name"))
+
+
 def period_state_grid(spark: SparkSession, start_year, start_month, end_year, end_month,
                       states: str | Sequence[str] | None, prefix: str = FILE_PREFIX,
                       extension: str = RAW_EXTENSION) -> DataFrame:

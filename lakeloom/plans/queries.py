@@ -21,12 +21,13 @@ from lakeloom.functions.coerce import apply_spec, jdbc_safe
 from lakeloom.functions.keys import key_prefix, normalised_key
 from lakeloom.functions.provenance import file_name_attrs, with_source_file
 from lakeloom.functions.text import parse_state_list
+from lakeloom.operators.contents import coverage_status_by_content, file_contents, landed_contents, record_landed
 from lakeloom.operators.integrity import compare_copies, fk_report, pk_report
 from lakeloom.operators.ledger import ForeignKeyLedger, KeyLedger
 from lakeloom.operators.lookup import lookup_enrich
 from lakeloom.operators.manifest import (RANK_EXISTS, RANK_IGNORED, RANK_SUCCESS, any_new_data,
                                          coverage_status_ranked, landed_as_raw,
-                                         period_state_grid_from, skip_landed)
+                                         period_state_grid_rows, skip_landed)
 from lakeloom.operators.star import StarEdge, star_join
 from lakeloom.plans.loads import load_dimension, load_fact, municipality_dimension
 from lakeloom.session import scratch_path
@@ -275,6 +276,18 @@ LINEITEM_CSV_SPEC = [("orderkey", "bigint"), ("partkey", "bigint"), ("linenumber
                      ("extendedprice", "double")]
 
 
+def lenient_cast_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """A column of which some values are numbers and others not (B9): amounts
+    as they are, with a unit, with a decimal comma, with blanks, empty."""
+    e = table(spark, sf, "events")
+    v = F.col("user_id").cast("string")
+    raw = (F.when(F.col("event_id") % 5 == 0, v).when(F.col("event_id") % 5 == 1, F.concat(v, F.lit(" kg")))
+           .when(F.col("event_id") % 5 == 2, F.concat(v, F.lit(",5"))).when(F.col("event_id") % 5 == 3, F.concat(F.lit(" "), v))
+           .otherwise(F.lit("")))
+    texts = e.select("event_id", raw.alias("whole"), F.concat(raw, F.lit(".25")).alias("part"))
+    return apply_spec(texts, [("whole", "bigint"), ("part", "double")], keep_extra=True)
+
+
 def declared_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Line items published as CSV under their own header names, scanned
     back under a declared spec that renames by position and declares the
@@ -336,21 +349,22 @@ def inferred_csv(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def manifest_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Expected files for every month the orders span, for every region.
-
-    The period comes from one aggregation over the orders; the state list
-    from a messy comma text built from the region names (a scalar subquery
-    over the small region table).
-    """
-    states_text = table(spark, sf, "region").select(
-        F.concat(F.array_join(F.sort_array(F.collect_list(F.lower("r_name"))), " , "),
-                 F.lit(", ,"))).scalar()
+    """Expected files for every month the orders span, for every region: the
+    period comes from one aggregation over the orders, the states are the
+    rows of the region table."""
     period = table(spark, sf, "orders").agg(
         F.trunc(F.min("o_orderdate").cast("date"), "month").alias("first"),
-        F.trunc(F.max("o_orderdate").cast("date"), "month").alias("last")
-    ).select("first", "last", states_text.alias("states_text"))
-    return period_state_grid_from(period, F.col("first"), F.col("last"),
-                                  parse_state_list("states_text"))
+        F.trunc(F.max("o_orderdate").cast("date"), "month").alias("last"))
+    states = table(spark, sf, "region").select(F.concat(F.lit(" "), F.lower("r_name")).alias("uf"))
+    return period_state_grid_rows(period, states)
+
+
+def state_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Comma lists of states as users write them, one per order priority and
+    status, taken apart (B12)."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.concat(
+        F.lit(" "), F.lower(F.substring("o_orderpriority", 3, 10)), F.lit(" ,, "), F.col("o_orderstatus"), F.lit(",")).alias("text"))
+    return o.select("o_orderkey", F.array_join(parse_state_list("text"), "|").alias("states"))
 
 
 def _landed_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,6 +407,40 @@ def any_new_data_query(spark: SparkSession, sf: str) -> DataFrame:
     return any_new_data(coverage_status_query(spark, sf))
 
 
+def content_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of 50 customers each in two drops: some come again unchanged,
+    some with other content of the same length, some only once; one name per
+    nation never comes."""
+    root = scratch_path(spark, "contents")
+    c = table(spark, sf, "customer").select("c_custkey", F.floor(F.col("c_custkey") / 50).cast("bigint").alias("k"),
+                                            F.col("c_acctbal").cast("string").alias("v"))
+
+    def drop(name: str, rows: DataFrame, changed: bool) -> DataFrame:
+        folder = f"{root}/{name}"
+
+        def write_file(key, pdf):
+            from lakeloom import fs as lfs
+            k = int(key[0])
+            data = "".join(f"{a};{v}\n" for a, v in sorted(zip(pdf["c_custkey"], pdf["v"])))
+            if changed and k % 4 == 1:
+                data = data[:-1] + "!"
+            fs, p = lfs.resolve(f"{folder}/f{k}.csv")
+            fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+            with fs.open_output_stream(p) as out:
+                out.write(data.encode())
+            return pd.DataFrame({"n": [len(pdf)]})
+
+        rows.groupBy("k").applyInPandas(write_file, "n long").write.format("noop").mode("overwrite").save()
+        return file_contents(spark, folder, chunk=256)
+
+    record_landed(spark, f"{root}/ledger", drop("d1", c.where("k % 4 <> 0"), False), "1")
+    arrived = drop("d2", c.where("k % 4 <> 3"), True)
+    grid = c.select(F.concat(F.lit("f"), F.col("k").cast("string"), F.lit(".csv")).alias("file_name")).distinct().unionByName(
+        table(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("file_name")))
+    skip = grid.where("file_name = 'n3.csv'")
+    return coverage_status_by_content(grid, skip, landed_contents(spark, f"{root}/ledger"), arrived)
+
+
 # --------------------------------------------------------------------------
 # Integrity reports
 # --------------------------------------------------------------------------
@@ -728,11 +776,14 @@ QUERIES: dict[str, Query] = {
     "folder_rows": folder_rows,
     "folder_report": folder_report,
     "lenient_cast": lenient_cast,
+    "lenient_cast_mixed": lenient_cast_mixed,
     "declared_csv": declared_csv,
     "csv_line_breaks": csv_line_breaks,
     "schema_drift": schema_drift,
     "inferred_csv": inferred_csv,
     "manifest_grid": manifest_grid,
+    "state_lists": state_lists,
+    "content_status": content_status,
     "skip_landed": skip_landed_query,
     "coverage_status": coverage_status_query,
     "coverage_summary": coverage_summary,
@@ -912,6 +963,10 @@ ORACLE_SQL: dict[str, str] = {
     "lenient_cast": """
   SELECT event_id, user_id, CAST(NULL AS BIGINT) AS event_type, value,
          TRY_CAST(props AS BIGINT) AS props
+  FROM events""",
+    "lenient_cast_mixed": """
+  SELECT event_id, CASE WHEN event_id % 5 IN (0, 3) THEN user_id END AS whole,
+         CASE WHEN event_id % 5 IN (0, 3) THEN user_id + 0.25::DOUBLE WHEN event_id % 5 = 4 THEN 0.25::DOUBLE END AS part
   FROM events""",
     "declared_csv": """
   SELECT l_orderkey AS orderkey, l_partkey AS partkey, CAST(l_linenumber AS BIGINT) AS linenumber,
@@ -933,6 +988,14 @@ ORACLE_SQL: dict[str, str] = {
     "inferred_csv": """
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "manifest_grid": _GRID,
+    "state_lists": """
+  SELECT o_orderkey, upper(trim(substr(o_orderpriority, 3, 10))) || '|' || o_orderstatus AS states FROM orders""",
+    "content_status": """
+  SELECT 'f' || CAST(k AS VARCHAR) || '.csv' AS file_name,
+         CASE k % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'changed' ELSE 'exists' END AS status
+  FROM (SELECT DISTINCT c_custkey // 50 AS k FROM customer)
+  UNION ALL
+  SELECT 'n' || CAST(n_nationkey AS VARCHAR) || '.csv', CASE n_nationkey WHEN 3 THEN 'ignored' ELSE 'error' END FROM nation""",
     "skip_landed": f"""
   WITH grid AS ({_GRID}),
   s AS ({_ORDER_STEMS}),

@@ -1,5 +1,7 @@
 """Lookup (C1), star join (C6), manifest (C2, C4, C5, D2), integrity."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import key_prefix, normalised_key
@@ -131,3 +133,65 @@ def test_fk_report_integer_code_against_text_key(spark):
     r = fk_report(fact, [("uf_zi", "dim_m", "cod_ibge")], {"dim_m": dim}).first()
     # compared as text: 110002 and 1 ("1" is not "01") are orphans
     assert (r.orphan_rows, r.orphan_keys, r.target_unique) == (2, 2, True)
+
+
+def test_star_join_rules_for_repeated_keys(spark):
+    import pytest
+
+    fact = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id int, k int")
+    dim = spark.createDataFrame([(10, "b", 1), (10, "a", 2), (10, "a", 1), (20, None, 5), (None, "z", 9)], "k int, n string, m int")
+    edge = [StarEdge("k", dim, "k", "d")]
+    assert star_join(fact, edge).count() == 5
+    got = {r.id: (r.d_n, r.d_m) for r in star_join(fact, edge, repeated="smallest").collect()}
+    assert got == {1: ("a", 1), 2: (None, 5), 3: (None, None)}
+    assert star_join(fact, edge, dedupe=True).count() == 3
+    with pytest.raises(Exception, match="occurs more than once"):
+        star_join(fact, edge, repeated="fail").collect()
+    once = [StarEdge("k", dim.where("k = 20"), "k", "d", ("m",))]
+    assert {r.id: r.d_m for r in star_join(fact, once, repeated="fail").collect()} == {1: None, 2: 5, 3: None}
+    with pytest.raises(ValueError):
+        star_join(fact, edge, repeated="any")
+
+
+def test_contents_of_files(spark, tmp):
+    import hashlib
+
+    from lakeloom.operators.contents import (CONTENT_SCHEMA, coverage_status_by_content, file_contents, landed_contents,
+                                             record_landed)
+
+    data = {"a.csv": b"x" * 1000, "sub/b.csv": b"y" * 10, "c d.csv": bytes(range(256)) * 4}
+    for name, content in data.items():
+        os.makedirs(os.path.dirname(os.path.join(tmp, "in", name)), exist_ok=True)
+        with open(os.path.join(tmp, "in", name), "wb") as fh:
+            fh.write(content)
+
+    def want(b, n):
+        return hashlib.sha256("".join(hashlib.sha256(b[i:i + n]).hexdigest() for i in range(0, len(b), n)).encode()).hexdigest()
+    got = {r.file_name: (r.length, r.digest) for r in file_contents(spark, f"{tmp}/in", chunk=300).collect()}
+    assert got == {k.rsplit("/", 1)[-1]: (len(v), want(v, 300)) for k, v in data.items()}
+
+    def frame(rows):
+        return spark.createDataFrame(rows, CONTENT_SCHEMA)
+    assert landed_contents(spark, f"{tmp}/ledger").count() == 0
+    record_landed(spark, f"{tmp}/ledger", frame([("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), ("i", 1, "x")]), "1")
+    record_landed(spark, f"{tmp}/ledger", frame([("b", 1, "bad")]), "2")
+    record_landed(spark, f"{tmp}/ledger", frame([("b", 2, "y")]), "2")  # again: replaced
+    grid = spark.createDataFrame([(n,) for n in "abcdeifg"], "file_name string")
+    arrived = frame([("a", 1, "x"), ("b", 2, "y"), ("c", 1, "z"), ("d", 3, "q"), ("i", 9, "n"), ("f", 1, "1"), ("f", 1, "2")])
+    skip = spark.createDataFrame([("i",)], "file_name string")
+    status = coverage_status_by_content(grid, skip, landed_contents(spark, f"{tmp}/ledger"), arrived)
+    assert {r.file_name: r.status for r in status.collect()} == {
+        "a": "exists", "b": "exists", "c": "changed", "d": "success", "e": "error", "i": "ignored", "f": "changed", "g": "error"}
+
+
+def test_grid_of_state_rows(spark):
+    import datetime as dt
+
+    from lakeloom.operators.manifest import period_state_grid_rows
+
+    period = spark.createDataFrame([(dt.date(2023, 11, 1), dt.date(2024, 1, 1))], "first date, last date")
+    states = spark.createDataFrame([(" sp",), ("RJ ",), ("SP",), ("",), (None,), ("ac",)], "uf string")
+    got = sorted(tuple(r) for r in period_state_grid_rows(period, states).collect())
+    want = sorted(tuple(r) for r in period_state_grid(spark, 2023, 11, 2024, 1, "ac,rj,sp").collect())
+    assert got == want and len(got) == 9
+    assert period_state_grid_rows(period, states.limit(0)).count() == 0
