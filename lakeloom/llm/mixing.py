@@ -96,7 +96,7 @@ def sainte_lague(parties: DataFrame, group: list[str], key: list[str]) -> DataFr
 
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
                 text_col: str = "text", weights: DataFrame | None = None, share: float = 1.5,
-                repeats: int = 2, block_words: int = 16, shard_docs: int = 4096,
+                repeats: int = 2, block_words: int = 16, least_blocks: int = 16, shard_docs: int = 4096,
                 max_shards: int = 100_000, shard_words: int = 4096, seed: int = 7) -> DataFrame:
     """One row per input row: id, source, size, source_size, target, taken.
 
@@ -113,6 +113,11 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     bounds the quota windows. A source with less than ``shard_words`` words a
     shard has fewer of them: a shard's last block may be short, and in shards
     of few words that would be much of the source.
+
+    Blocks have ``block_words`` words, or fewer where the smallest target
+    above zero would get less than ``least_blocks`` of them: a source counts
+    in whole blocks, and no target may vanish in the rounding. Blocks are not
+    rows, so small ones cost nothing.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     sized = scratch.write(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
@@ -135,6 +140,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     weighted = scratch.write(sources.join(w, key, "left").withColumn(
         "weight", F.coalesce(F.col("weight").cast("double"), F.lit(0.0))), "weighted")
     targets, total = capped_targets(weighted, share, repeats)
+    smallest = targets.where("target > 0").agg(F.min("target")).first()[0]
+    block_words = max(1, min(block_words, math.floor((smallest or 0.0) / least_blocks)))
     blocks = math.floor(total / block_words + 0.5)
     quota = sainte_lague(targets.select(*key, F.col("target").alias("votes"),
                                         F.lit(blocks).cast("bigint").alias("pool")), [], key)

@@ -120,14 +120,15 @@ WITH sized AS (
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 par AS (SELECT greatest(1, least(100000, ceil(count(*) / 4096.0)))::BIGINT AS s FROM sized),
+src AS (SELECT source, nul, src, sum(size)::BIGINT AS ssize FROM sized GROUP BY ALL),
 docs AS (
-  SELECT *, ('0x' || substr(md5('8:' || doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT s FROM par) AS shard,
+  SELECT sized.*, ('0x' || substr(md5('8:' || doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT s FROM par)
+                  % greatest(1, least((SELECT s FROM par), ssize // 4096)) AS shard,
          md5('7:' || doc_id::VARCHAR) AS ord
-  FROM sized),
-src AS (SELECT source, nul, src, sum(size)::BIGINT AS ssize FROM docs GROUP BY ALL),
+  FROM sized JOIN src USING (nul, src)),
 wts AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY nul, src) - 1) % 3 + 1]::DOUBLE AS w,
                2.0::DOUBLE * ssize AS cap FROM src),
-tot AS (SELECT 1.5::DOUBLE * sum(ssize) AS t, floor(1.5::DOUBLE * sum(ssize) / 16 + 0.5)::BIGINT AS blocks FROM wts),
+tot AS (SELECT 1.5::DOUBLE * sum(ssize) AS t FROM wts),
 lev AS (
   SELECT *, ((SELECT t FROM tot) - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
@@ -135,23 +136,25 @@ lev AS (
   FROM wts WINDOW o AS (ORDER BY cap / w, nul, src)),
 cut AS (SELECT coalesce(arg_min(level, n) FILTER (WHERE level * w <= cap), 1e300) AS level FROM lev),
 tgt AS (SELECT wts.*, least(cap, (SELECT level FROM cut) * w) AS target FROM wts),
+bw AS (SELECT greatest(1, least(16, floor(coalesce(min(target) FILTER (WHERE target > 0), 0) / 16)))::BIGINT AS b FROM tgt),
+pool AS (SELECT floor(t / b + 0.5)::BIGINT AS blocks FROM tot, bw),
 quo AS (
-  SELECT nul, src, target / (2 * k + 1) AS q FROM tgt,
-         LATERAL (SELECT unnest(range(0, (ceil(target / 16) + 3)::BIGINT)) AS k) WHERE target > 0),
+  SELECT nul, src, target / (2 * k + 1) AS q FROM tgt, bw,
+         LATERAL (SELECT unnest(range(0, (ceil(target / b) + 3)::BIGINT)) AS k) WHERE target > 0),
 won AS (SELECT nul, src, count(*) AS seats FROM (
-          SELECT * FROM quo ORDER BY q DESC, nul, src LIMIT (SELECT blocks FROM tot)) GROUP BY ALL),
+          SELECT * FROM quo ORDER BY q DESC, nul, src LIMIT (SELECT blocks FROM pool)) GROUP BY ALL),
 sh AS (SELECT nul, src, shard, sum(size)::BIGINT AS words FROM docs GROUP BY ALL),
 shq AS (
   SELECT nul, src, shard, row_number() OVER (PARTITION BY nul, src ORDER BY words::DOUBLE / (2 * k + 1) DESC, shard) AS r
-  FROM sh, LATERAL (SELECT unnest(range(0, (ceil(words / 8.0) + 4)::BIGINT)) AS k) WHERE words > 0),
+  FROM sh, bw, LATERAL (SELECT unnest(range(0, (ceil(2.0 * words / b) + 4)::BIGINT)) AS k) WHERE words > 0),
 quota AS (SELECT nul, src, shard, count(*) FILTER (WHERE r <= coalesce(seats, 0)) AS q
           FROM shq LEFT JOIN won USING (nul, src) GROUP BY ALL),
 box AS (
-  SELECT sh.*, greatest(1, ceil(words * 2 / 16.0))::BIGINT AS n,
-         least(coalesce(q, 0), greatest(1, ceil(words * 2 / 16.0)))::BIGINT AS q,
+  SELECT sh.*, b, greatest(1, ceil(words * 2.0 / b))::BIGINT AS n,
+         least(coalesce(q, 0), greatest(1, ceil(words * 2.0 / b)))::BIGINT AS q,
          ('0x' || substr(md5(concat_ws(':', '9', CASE WHEN nul = 0 THEN src END, shard::VARCHAR)), 1, 8))::BIGINT AS h
-  FROM sh LEFT JOIN quota USING (nul, src, shard)),
-blk AS (SELECT nul, src, shard, j * 16 AS a, least((j + 1) * 16, 2 * words) AS z
+  FROM (sh LEFT JOIN quota USING (nul, src, shard)), bw),
+blk AS (SELECT nul, src, shard, j * b AS a, least((j + 1) * b, 2 * words) AS z
         FROM box, LATERAL (SELECT unnest(range(0, n)) AS j) WHERE (j * q + h % n) % n < q),
 placed AS (
   SELECT docs.*, sum(size) OVER (PARTITION BY nul, src, shard ORDER BY ord, doc_id, size

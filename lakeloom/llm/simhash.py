@@ -179,75 +179,130 @@ def link_within(keys, fp, home, forest: Forest, item, max_bits: int, big: int =
         a = z
 
 
-def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                shingle: int = SHINGLE, max_bits: int = MAX_BITS, group_rows: int = 100_000) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
-
-    Null text and text without words have fingerprint zero and link like any
-    other. Rows with a null id get a fingerprint and, where some linked row
-    has an id, its component. Repeated rows and copies share a fingerprint
-    and are one member in the search; other columns are ignored; an empty
-    table gives no rows.
-
-    Scale: text is read once and only fingerprints move. Copies collapse
-    before the search, each distinct fingerprint is copied to about 44
-    anchors, and an anchor task returns a spanning forest of its links, never
-    all pairs. Components and the join back are plain shuffles on small rows.
-    """
-    scratch = Scratch(docs.sparkSession, "simhash")
+def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shingle: int, max_bits: int,
+             group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, comp, component_id) of every
+    distinct fingerprint: its group, named by the group's smallest fingerprint,
+    and the smallest id of the group, NULL if no row of it has one."""
     fps = scratch.write(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = scratch.write(fps.where("doc_id is not null").groupBy("fp")
-                          .agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = scratch.write(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
     groups = max(1, math.ceil(nodes.count() * 44 / group_rows))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, node = (np.asarray(b.column(c), dtype=np.int64) for c in ("fp", "node"))
+            fp = np.asarray(b.column("fp"), dtype=np.int64)
             for i in range(0, len(fp), 20_000):
-                f, nd = fp[i:i + 20_000], node[i:i + 20_000]
+                f = fp[i:i + 20_000]
                 row, key, home = anchors_of(f.view(np.uint64), max_bits)
                 mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
                 grp = (mixed % np.uint64(groups)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (grp, key, f[row], nd[row], home)],
-                    names=["grp", "key", "fp", "node", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (grp, key, f[row], home)],
+                                                 names=["grp", "key", "fp", "home"])
 
     def compare(t: pa.Table) -> pa.Table:
-        key, fp, node = (np.asarray(t.column(c).combine_chunks(), dtype=np.int64)
-                         for c in ("key", "fp", "node"))
+        key, fp = (np.asarray(t.column(c).combine_chunks(), dtype=np.int64) for c in ("key", "fp"))
         home = np.asarray(t.column("home").combine_chunks()).astype(bool)
-        names, item = np.unique(node, return_inverse=True)
+        names, item = np.unique(fp, return_inverse=True)
         forest = Forest(len(names))
         link_within(key, fp.view(np.uint64), home, forest, item, max_bits)
         hi = np.concatenate([x for x, _ in forest.links] or [np.zeros(0, np.int64)])
         lo = np.concatenate([x for _, x in forest.links] or [np.zeros(0, np.int64)])
         return pa.table({"a": names[hi], "b": names[lo]})
 
-    spread_schema = "grp int, key bigint, fp bigint, node bigint, home boolean"
-    edges = (nodes.mapInArrow(spread, spread_schema).groupBy("grp")
+    edges = (nodes.select("fp").mapInArrow(spread, "grp int, key bigint, fp bigint, home boolean").groupBy("grp")
              .applyInArrow(compare, T.StructType([T.StructField("a", T.LongType()),
                                                   T.StructField("b", T.LongType())])))
-    comp = connected_components(edges, scratch)
-    named = nodes.join(comp, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp", "left").select(
+    comp = connected_components(edges, scratch).withColumnRenamed("node", "fp")
+    # only linked fingerprints have a group beside themselves
+    linked = comp.join(nodes, "fp")
+    lows = linked.groupBy("component").agg(F.min("low").alias("lowest"))
+    named = nodes.join(comp.join(lows, "component"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("comp"),
+        F.when(F.col("component").isNotNull(), F.col("lowest")).otherwise(F.col("low")).alias("component_id"))
+    return fps, scratch.write(named, "named")
+
+
+def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS, group_rows: int = 100_000) -> DataFrame:
+    """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
+
+    Null text and text without words have fingerprint zero and link like any
+    other. Rows with a null id link and bridge like any other and have the
+    component of their group, NULL if no row of it has an id. Repeated rows and
+    copies share a fingerprint and are one member in the search; other columns
+    are ignored; an empty table gives no rows.
+
+    Scale: text is read once and only fingerprints move. Copies collapse
+    before the search, each distinct fingerprint is copied to about 44
+    anchors, and an anchor task returns a spanning forest of its links, never
+    all pairs. Components and the join back are plain shuffles on small rows.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash")
+    fps, named = _grouped(docs, scratch, id_col, text_col, shingle, max_bits, group_rows)
+    return fps.join(named.select("fp", "component_id"), "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group. Rows that
-    repeat a kept id are copies too: one of them stays. Rows without an id
-    all stay."""
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS, group_rows: int = 100_000) -> DataFrame:
+    """One row of every group of near duplicates, all columns as they are.
+
+    It is the row with the smallest id, rows without an id last; among rows of
+    that id the one with the smallest fingerprint (as a signed number), and
+    among those the one whose values hash lowest. Every row is judged by its
+    own text: an id with several texts keeps those that are in groups of their
+    own. An empty table gives no rows.
+
+    Scale: ids that occur once, as they should, go by an anti-join on the id.
+    Only rows that share their id with others, or have none, are fingerprinted
+    again to tell them apart.
+    """
     scratch = Scratch(docs.sparkSession, "keep-one")
-    groups = near_groups(docs, id_col=id_col, **kw).where(F.col("doc_id").isNotNull())
-    per_id = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"),
-                                          F.min("component_id").alias("_comp"))
-    out = scratch.write(per_id.where((F.col("_rows") > 1) | (F.col("doc_id") != F.col("_comp")))
-                        .select(F.col("doc_id").alias("_gone"),
-                                (F.col("doc_id") == F.col("_comp")).alias("_once")), "out")
-    kept = docs.join(out.select("_gone"), docs[id_col] == F.col("_gone"), "left_anti")
-    once = out.where("_once").select("_gone")
-    if once.isEmpty():
+    fps, named = _grouped(docs, scratch, id_col, text_col, shingle, max_bits, group_rows)
+    rows = fps.join(named.select("fp", "comp"), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("w")
+    winners = scratch.write(rows.groupBy("comp").agg(first).select("comp", "w.doc_id", "w.fp"), "winners")
+    per_id = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("comp"))
+    won = winners.select("comp", F.col("doc_id").alias("winner"))
+    out = scratch.write(per_id.join(won, "comp").where("n > 1 OR winner IS NULL OR winner <> doc_id")
+                        .select("doc_id", (F.col("n") > 1).alias("many")), "out")
+    mark = _free(docs, "_id")
+    ids = out.select(F.col("doc_id").alias(mark))
+    kept = docs.where(F.col(f"`{id_col}`").isNotNull()).join(ids, F.col(f"`{id_col}`") == F.col(mark), "left_anti")
+    many = out.where("many").select(F.col("doc_id").alias(mark))
+    nameless = fps.where("doc_id IS NULL")
+    if many.isEmpty() and nameless.isEmpty():
         return kept
-    return kept.unionByName(docs.join(once, docs[id_col] == F.col("_gone"), "left_semi")
-                            .dropDuplicates([id_col]))
+    special = (docs.join(many, F.col(f"`{id_col}`") == F.col(mark), "left_semi")
+               .unionByName(docs.where(F.col(f"`{id_col}`").isNull())))
+    return kept.unionByName(_winning_rows(special, winners, id_col, text_col, shingle))
+
+
+def _winning_rows(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Of rows that an id does not tell apart, those that win their group."""
+    fp, order, w_id, w_fp, row = (_free(docs, n) for n in ("_fp", "_order", "_w_id", "_w_fp", "_row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_blocks(batches, text_col):
+            prints = np.array([fingerprint(t, shingle) for t in as_bytes(b.column(text_col))], np.uint64)
+            yield b.append_column(fp, pa.array(prints.view(np.int64)))
+
+    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())]))
+    wins = winners.select(F.col("doc_id").alias(w_id), F.col("fp").alias(w_fp))
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(w_id)) & (F.col(fp) == F.col(w_fp))
+    plain = [c.name for c in docs.schema.fields if "map<" not in c.dataType.simpleString()]
+    # copies of the winning row fold to one within each task
+    one = (marked.join(wins, same, "left_semi")
+           .select(F.col(f"`{id_col}`").cast("bigint").alias(w_id), F.col(fp).alias(w_fp),
+                   F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
+                   F.xxhash64(*[F.col(f"`{c}`") for c in plain]).alias(order))
+           .groupBy(w_id, w_fp).agg(F.min_by(row, order).alias(row)))
+    return one.select(f"{row}.*")

@@ -47,12 +47,20 @@ def top_k(df: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding",
     ``is_query`` is a condition on ``vec_id`` (default: divisible by 50). A
     query is not its own candidate; ties go to the smaller id; fewer than k
     candidates give fewer rows. Only vectors of equal length are compared.
+    Scores are 64-bit integers: vectors whose squared length, scaled, reaches
+    2**62 could overflow one, and floats of 2**53 have no exact floor, so a
+    table that holds any is refused with an error before the search.
     Two different vectors under one id: both are candidates, and as a query
     the id gets the k best over both. Empty tables give no rows.
     """
     is_query = (F.col("vec_id") % 50 == 0) if is_query is None else is_query
     ints = integer_vectors(df, id_col, vec_col, scale).withColumn("dim", F.size("ints"))
-    n = ints.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
+    # no product of two vectors exceeds the longest one's square
+    square = F.aggregate("ints", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    n = ints.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q"),
+                 F.max(square).alias("square")).first()
+    if (n["square"] or 0.0) >= float(1 << 62):
+        raise ValueError(f"vectors are too long for 64-bit scores: squared length {n['square']:.3g} at scale {scale}")
     g, h = max(1, math.ceil(n["n"] / slice_rows)), max(1, math.ceil(n["q"] / slice_queries))
 
     # dealt by the vector's own hash: rows are distinct, so slices are even

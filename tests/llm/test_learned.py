@@ -181,3 +181,64 @@ def test_empty_benchmark(documents, llm, empty):
     bench = llm.createDataFrame([(1, None), (None, "x y z"), (2, ""), (3, "...")], "item_id bigint, text string")
     assert decontam.contaminated(documents, bench).collect() == []
     assert decontam.contaminated(empty, bench).collect() == []
+
+
+# --------------------------------------------------- quality, slow versions
+
+def toy_quality(seed=0):
+    rng = np.random.default_rng(seed)
+    return {"w": rng.normal(size=153) * 0.4, "trans": rng.normal(size=(2, 2)), "start": rng.normal(size=2), "share": np.array(0.5)}
+
+
+def test_document_scores_by_enumeration():
+    import itertools
+
+    m = toy_quality()
+    texts = [b"Good line here.\nbuy!!! NOW\n\nGood line here.", b"", b"a b\na b\n1 2 3", b"\n", b"| x | y |\n$$$ 100%", "é ç\nñ".encode()]
+    for t in texts:
+        x, length, per_doc = quality.line_features([t])
+        n = per_doc[0]
+        emit = x.astype(np.float64) @ m["w"]
+        total, good = 0.0, np.zeros(n)
+        for y in itertools.product((0, 1), repeat=int(n)):
+            s = m["start"][y[0]] + sum(m["trans"][a, b] for a, b in zip(y, y[1:])) + sum(e for e, k in zip(emit, y) if k)
+            total += np.exp(s)
+            good += np.exp(s) * np.array(y)
+        want = (good / total * (length + 1)).sum() / (length + 1).sum()
+        assert quality.score_texts([t], m)[0] == pytest.approx(want, abs=1e-9)
+    alone = [quality.score_texts([t], m)[0] for t in texts]
+    assert np.allclose(quality.score_texts(texts, m), alone, atol=1e-12)
+
+
+def test_long_documents_by_windows(monkeypatch):
+    m = toy_quality(1)
+    texts = [b"word word word\nx\n\n!!\n" * 700, b"short one\nagain", b"\n" * 3000, b"one line only " * 500]
+    want = quality.score_texts(texts, m)
+    monkeypatch.setattr(quality, "LONG_CHAIN", 100)
+    monkeypatch.setattr(quality, "WINDOW_LINES", 37)
+    monkeypatch.setattr(quality, "WINDOW_BYTES", 600)
+    assert np.allclose(quality.score_texts(texts, m), want, atol=1e-9)
+
+
+def test_memory_of_a_text_of_line_breaks():
+    import tracemalloc
+
+    tracemalloc.start()
+    quality.score_texts([b"\n" * 1_000_000], toy_quality())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 125 << 20, peak  # 4 million lines: under 500 MB
+
+
+def test_the_fit_takes_bounded_rows_and_lines(llm, monkeypatch):
+    docs = llm.createDataFrame([(1, "good text here\n" * 5)] * 50 + [(2, "bad $$$ !!!\n" * 5), (3, "good text\n"), (4, "$$ bad")],
+                               "doc_id bigint, text string")
+    labels = llm.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train_in_task", lambda s, f: seen.append(s.collect()) or b"")
+    quality.train(docs, labels, folds=1, held=5)
+    assert sorted(r.label for r in seen[0]) == [0, 0, 1, 1]  # one row an id
+    import pyarrow as pa
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 3)
+    model = quality.load(quality.fit(pa.table({"text": ["a\n" * 50, "b", "c\n$$"], "label": [1, 0, 1]}), steps=2))
+    assert 0 <= float(model["share"]) <= 1
