@@ -31,6 +31,9 @@ SEED = 42
 MAX_BITS = 4
 SLICE = 1 << 17  # shingles hashed at a time
 PAIRS = 1 << 20  # pairs compared at a time
+POINTS = 1 << 22  # midpoints sorted at a time
+BUSY = 1 << 20  # pairs of one anchor above which another way is looked for
+SORTED = 8  # what sorting a midpoint costs, in compared pairs
 
 # the 64 bits as three blocks, each a 15-bit Hamming part and free bits
 BLOCKS = ((0, 21), (21, 21), (42, 22))
@@ -142,24 +145,79 @@ class Forest:
                 self.root = r
 
 
+def _ball(width: int, radius: int) -> list[int]:
+    """All masks of ``width`` bits and weight at most ``radius``."""
+    return [sum(1 << i for i in bits) for w in range(radius + 1) for bits in combinations(range(width), w)]
+
+
+def link_by_midpoints(fp: np.ndarray, forest: Forest, item: np.ndarray, max_bits: int,
+                      points: int = POINTS) -> None:
+    """Link all fingerprints within ``max_bits`` (even) of each other in time
+    linear in their number: two differ in at most ``2 * r`` bits exactly if some
+    value lies within ``r`` bits of both. Every fingerprint is a member of the
+    values in its ball, and members of one value are linked in a chain. Values
+    go by their leading bits, about ``points`` of them at a time."""
+    spread = int(np.bitwise_or.reduce(fp ^ fp[0])) if len(fp) else 0
+    at = [i for i in range(64) if spread >> i & 1]
+    v = np.zeros(len(fp), np.uint64)  # the bits that differ at all, close together
+    for j, i in enumerate(at):
+        v |= ((fp >> np.uint64(i)) & np.uint64(1)) << np.uint64(j)
+    masks = _ball(len(at), max_bits // 2)
+    lead = min(len(at), max(0, math.ceil(math.log2(max(1, len(fp) * len(masks) / points)))))
+    low = len(at) - lead
+    by_lead: dict[int, list[int]] = {}
+    for m in masks:
+        by_lead.setdefault(m >> low, []).append(m)
+    head = (v >> np.uint64(low)).astype(np.int64) if lead else np.zeros(len(v), np.int64)
+    order = np.argsort(head, kind="stable")
+    bounds = np.searchsorted(head[order], np.arange((1 << lead) + 1))
+    for part in range(1 << lead):
+        values, members = [], []
+        for flip, some in by_lead.items():
+            mine = order[bounds[part ^ flip]:bounds[(part ^ flip) + 1]]
+            if len(mine):
+                values.append((v[mine][:, None] ^ np.array(some, np.uint64)[None, :]).ravel())
+                members.append(np.repeat(mine, len(some)))
+        if not values:
+            continue
+        value, member = np.concatenate(values), np.concatenate(members)
+        o = np.argsort(value, kind="stable")
+        value, member = value[o], member[o]
+        same = value[1:] == value[:-1]
+        a, b = item[member[1:][same]], item[member[:-1][same]]
+        forest.add(a, b)
+
+
 def link_within(keys, fp, home, forest: Forest, item, max_bits: int, big: int = 1 << 22) -> None:
-    """Compare home with copied fingerprints under each key. A key with very
-    many pairs is first cut by five bands of all 64 bits, of which a linked
-    pair (at most four differing bits) shares one whole."""
+    """Link home with copied fingerprints under each key. Members of a key are
+    compared pair by pair; where that would cost more than the midpoints of its
+    members, these link them. A key with many pairs between the two is first cut
+    by bands of the bits its members differ in, one more than ``max_bits``: a
+    linked pair shares one whole band."""
     o = np.lexsort((home, keys))
     keys, fp, home, item = keys[o], fp[o], home[o], item[o]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    if len(keys) == 0:
+        return
     size = np.diff(np.r_[first, len(keys)])
     homes = np.add.reduceat(home.astype(np.int64), first)
-    heavy = (homes * size > big) if max_bits < 5 and big else np.zeros(len(first), bool)
-    if heavy.any():
-        m = np.repeat(heavy, size)
-        run = np.repeat(np.arange(len(first)), size)[m]
-        for band in range(5):
-            value = ((fp[m] >> np.uint64(13 * band)) & np.uint64(0x1FFF)).astype(np.int64)
-            link_within((run << 13) | value, fp[m], home[m], forest, item[m], max_bits, big=0)
+    done = np.zeros(len(first), bool)
+    for r in np.flatnonzero(homes * size > BUSY):
+        mine = slice(first[r], first[r] + size[r])
+        spread = int(np.bitwise_or.reduce(fp[mine] ^ fp[first[r]]))
+        width = spread.bit_count()
+        if max_bits % 2 == 0 and homes[r] > SORTED * sum(math.comb(width, k) for k in range(max_bits // 2 + 1)):
+            link_by_midpoints(fp[mine], forest, item[mine], max_bits)
+            done[r] = True
+        elif big and homes[r] * size[r] > big and width > 2 * max_bits:
+            at = [i for i in range(64) if spread >> i & 1]
+            for k in range(max_bits + 1):
+                band = np.uint64(sum(1 << i for i in at[k::max_bits + 1]))
+                link_within((fp[mine] & band).view(np.int64), fp[mine], home[mine], forest, item[mine],
+                            max_bits, big=0)
+            done[r] = True
     # every home element meets all members of its run, in bounded pieces
-    hs = np.flatnonzero(home & ~np.repeat(heavy, size))
+    hs = np.flatnonzero(home & ~np.repeat(done, size))
     if len(hs) == 0:
         return
     run = np.repeat(np.arange(len(first)), size)[hs]

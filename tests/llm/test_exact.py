@@ -224,6 +224,47 @@ def test_anchor_search_finds_every_link():
         assert (got.root == want.root).all()
 
 
+def family(n, bits, seed=0):
+    """Distinct fingerprints that differ in the given bits alone."""
+    rng = np.random.default_rng(seed)
+    v = rng.choice(1 << len(bits), n, replace=False).astype(np.uint64)
+    out = np.full(n, 0x0123456789ABCDEF, np.uint64)
+    for j, b in enumerate(bits):
+        out ^= ((v >> np.uint64(j)) & np.uint64(1)) << np.uint64(b)
+    return out
+
+
+@pytest.mark.parametrize("bits", [range(42, 63), range(0, 64, 4), range(20, 44), [63], []])
+def test_midpoints_link_what_pairs_do(bits, monkeypatch):
+    fp = family(min(1500, 1 << len(bits)), list(bits))
+    a, b = np.nonzero(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4)
+    want = simhash.Forest(len(fp))
+    want.add(a, b)
+    for points in (1 << 22, 5000):
+        got = simhash.Forest(len(fp))
+        simhash.link_by_midpoints(fp, got, np.arange(len(fp)), 4, points)
+        assert (got.root == want.root).all()
+    for busy, dear in ((1, 0.01), (1, 1e9)):  # by midpoints, by bands
+        monkeypatch.setattr(simhash, "BUSY", busy)
+        monkeypatch.setattr(simhash, "SORTED", dear)
+        row, key, home = simhash.anchors_of(fp)
+        got = simhash.Forest(len(fp))
+        simhash.link_within(key, fp[row], home, got, row, 4, 100)
+        assert (got.root == want.root).all()
+
+
+def test_a_large_family_of_near_copies_is_quick():
+    import time
+
+    fp = family(20_000, list(range(42, 63)))
+    row, key, home = simhash.anchors_of(fp)
+    start = time.perf_counter()
+    got = simhash.Forest(len(fp))
+    simhash.link_within(key, fp[row], home, got, row, 4)
+    assert time.perf_counter() - start < 20  # 63 s by pairs
+    assert (got.root == 0).all()
+
+
 def test_near_groups_of_nothing(empty):
     assert simhash.near_groups(empty).collect() == []
     assert simhash.keep_one(empty).collect() == []
