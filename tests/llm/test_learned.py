@@ -2,6 +2,7 @@
 against enumeration, retrieval against brute force, awkward rows."""
 
 import itertools
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +89,72 @@ def test_toxicity_keeps_every_telling_word():
     assert all(scorer.score(f"{w} {w}".encode()) > scorer.score(b"some plain text") for w in bad)
 
 
+def test_telling_features_are_counted_exactly(llm):
+    rng = np.random.default_rng(5)
+    rows = [(" ".join(f"w{k}" for k in rng.zipf(1.3, 20) % 5000) + (" qzx" if d < 40 else ""), int(d < 400))
+            for d in range(1200)]
+    frame = llm.createDataFrame(rows, "text string, positive int").repartition(5)
+    got = toxicity.telling_features(frame)
+    seen = {}
+    for t, p in rows:
+        for f in {f for w in t.split() for f in [w] + [w[:n] + "*" for n in (4, 5, 6) if len(w) >= n]}:
+            seen.setdefault(f, [0, 0])[p] += 1
+    z = {}
+    for f, (u, p) in seen.items():
+        m = (u + p) / 1200
+        if u + p >= 8:
+            z[f] = abs(p / 400 - u / 800) / (m * (1 - m) * (1 / 400 + 1 / 800) + 1e-12) ** 0.5
+    strong = {f: v for f, v in z.items() if v > 5}
+    assert got == sorted(f for f, v in strong.items() if all(strong.get(s, 0) < v for s in toxicity.shorter(f)))
+    assert "qzx" in got  # in 40 positives alone, however often other words occur
+    assert toxicity.telling_features(frame.where("positive = 1")) == []
+    parts = list(toxicity.count_features([t.encode() for t, _ in rows], [p for _, p in rows], 50))
+    assert len(parts) > 5
+    total = {}
+    for part in parts:
+        for f, (u, p) in part.items():
+            total.setdefault(f, [0, 0])
+            total[f] = [total[f][0] + u, total[f][1] + p]
+    assert total == seen
+
+
+@pytest.mark.parametrize("shift", [-3.0, 0.0, 3.0])
+def test_the_gradient_is_that_of_the_non_negative_risk(shift):
+    rng = np.random.default_rng(1)
+    x, positive, prior = rng.normal(size=(30, 4)), np.arange(30) < 12, 0.4
+    w = rng.normal(size=4) * 0.3
+
+    def parts(w, b):
+        z = x @ w + b
+        plus, minus = np.log1p(np.exp(-z)), np.log1p(np.exp(z))
+        unl = minus[~positive].mean() - prior * minus[positive].mean()
+        return prior * plus[positive].mean() + unl, unl
+
+    def risk(w, b):
+        whole, unl = parts(w, b)
+        return whole if parts(w0, b0)[1] >= 0 else -unl
+
+    w0, b0 = w, shift
+    score = 1 / (1 + np.exp(-(x @ w + shift)))
+    gw, gb = toxicity.risk_gradient(score, positive, prior, lambda g: x.T @ g)
+    step = 1e-6
+    for i in range(4):
+        d = np.zeros(4)
+        d[i] = step
+        assert gw[i] == pytest.approx((risk(w + d, shift) - risk(w - d, shift)) / (2 * step), abs=1e-5)
+    assert gb == pytest.approx((risk(w, shift + step) - risk(w, shift - step)) / (2 * step), abs=1e-5)
+
+
+def test_one_id_with_very_many_rows(llm, monkeypatch):
+    docs = llm.createDataFrame([(1, f"text {i}") for i in range(300)] + [(k, "plain words") for k in range(2, 9)],
+                               "doc_id bigint, text string")
+    labels = llm.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id bigint, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train_in_task", lambda s, f: seen.extend(s.collect()) or b"")
+    toxicity.train(docs, labels, folds=1, held=5, unlabelled=6)
+    assert Counter(r.positive for r in seen) == {0: 6, 1: 2}
+
+
 def test_language_held_out(corpus, documents, empty):
     docs, _ = corpus
     model = language.train(docs, per_language=60)
