@@ -134,11 +134,17 @@ def fit(table: pa.Table, names: list[str] | None = None, steps: int = 1500, rate
     def back(weight: np.ndarray) -> np.ndarray:
         return np.bincount(col, val * weight[row], minlength=len(names) * 2)
 
-    for _ in range(steps):
+    # steps that reverse the gradient make single models sway: the mean of the
+    # second half of them is kept
+    mean, late = {k: np.zeros_like(x) for k, x in p.items()}, range(steps // 2, steps)
+    for i in range(steps):
         score = sigmoid(np.bincount(row, val * p["w"][col], minlength=len(texts)) + p["b"])
         gw, gb = risk_gradient(score, positive, prior, back)
         opt.step(p, {"w": gw + l2 * p["w"], "b": np.array([gb])})
-    return pickle.dumps({"names": index, "w": p["w"], "bias": float(p["b"][0])})
+        if i in late:
+            for k, x in p.items():
+                mean[k] += x / len(late)
+    return pickle.dumps({"names": index, "w": mean["w"], "bias": float(mean["b"][0])})
 
 
 def risk_gradient(score: np.ndarray, positive: np.ndarray, prior: float, back) -> tuple[np.ndarray, float]:
