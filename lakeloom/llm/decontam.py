@@ -11,16 +11,18 @@ into windows that overlap by at least the longest item.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import text_blocks
+from lakeloom.llm.common import Scratch, text_blocks
 
 SHINGLE = 5
 OVERLAP = 0.8  # share of an item's shingles a passage must hold
@@ -51,10 +53,24 @@ def split_item(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, "")
 
 
+class Statistics:
+    """What BM25 needs of all test items: their number, mean length and the
+    items that hold each term."""
+
+    def __init__(self, n: int, mean: float, df: dict[bytes, int]) -> None:
+        self.n, self.mean, self.df = n, mean, df
+
+    @classmethod
+    def of(cls, texts: list[list[bytes]]) -> Statistics:
+        n = len(texts)
+        return cls(n, sum(map(len, texts)) / n if n else 1.0, Counter(t for w in texts for t in set(w)))
+
+
 class Index:
-    """Inverted index of test items with normalised BM25 impacts."""
+    """Inverted index of test items with normalised BM25 impacts. Of a part of
+    the items it needs the statistics of all of them."""
 
-    def __init__(self, items: list[tuple[int, str, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str, str]], stats: Statistics | None = None) -> None:
         self.ids, texts, self.answers = [], [], []
         for i, question, answer in items:
             q, a = words_of(question), words_of(answer)
@@ -63,9 +79,10 @@ class Index:
                 texts.append(q + a)
                 self.answers.append(Counter(a))
         n = len(texts)
-        mean = sum(map(len, texts)) / n if n else 1.0
-        df = Counter(t for w in texts for t in set(w))
-        idf = {t: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in df.items()}
+        stats = stats or Statistics.of(texts)
+        mean = stats.mean
+        idf = {t: math.log(1 + (stats.n - stats.df[t] + 0.5) / (stats.df[t] + 0.5))
+               for t in {t for w in texts for t in w}}
         self.shingles = [shingles(w) for w in texts]
         self.longest = max(map(len, texts), default=1)
         posting = defaultdict(list)
@@ -233,20 +250,66 @@ class Index:
         return out
 
 
-def item_parts(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None,
-               index_bytes: int) -> list[list[tuple[int, str, str]]]:
-    """The test items in parts of at most about ``index_bytes`` of text."""
-    cols = [F.col(item_col).cast("bigint").alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("q")]
-    if answer_col:
-        cols.append(F.coalesce(F.col(answer_col), F.lit("")).alias("a"))
-    items = benchmark.select(*cols).where(F.col("i").isNotNull())
-    size = items.agg(F.sum(F.octet_length("q"))).first()[0] or 0
+def _statistics(items: DataFrame) -> Statistics:
+    """Statistics of all items (q, a), counted by tasks; what comes back is as
+    large as the items' vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, length = Counter(), 0, 0
+        for b in batches:
+            for q, a in zip(b.column("q").to_pylist(), b.column("a").to_pylist()):
+                w = words_of(q) + words_of(a)
+                if w:
+                    n, length = n + 1, length + len(w)
+                    df.update(set(w))
+        terms = list(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *terms], pa.binary()), pa.array([n, *[df[t] for t in terms]], pa.int64()),
+             pa.array([length] + [0] * len(terms), pa.int64())], names=["term", "n", "length"])
+
+    rows = (items.select("q", "a").mapInArrow(run, "term binary, n bigint, length bigint")
+            .groupBy("term").agg(F.sum("n").alias("n"), F.sum("length").alias("length")).collect())
+    whole = next((r for r in rows if r["term"] is None), None)
+    n = whole["n"] if whole else 0
+    return Statistics(n, whole["length"] / n if n else 1.0,
+                      {bytes(r["term"]): r["n"] for r in rows if r["term"] is not None})
+
+
+def index_parts(benchmark: DataFrame, item_col: str, text_col: str, answer_col: str | None,
+                index_bytes: int) -> list[bytes]:
+    """Packed indexes of parts of at most about ``index_bytes`` of item text,
+    one part at least. Tasks build them with the statistics of all items; the
+    driver only hands the packed bytes on."""
+    raw = (benchmark.select(F.col(item_col).cast("bigint").alias("i"),
+                            F.coalesce(F.col(text_col), F.lit("")).alias("q"),
+                            (F.coalesce(F.col(answer_col), F.lit("")) if answer_col else F.lit(None)
+                             .cast("string")).alias("a"))
+           .where(F.col("i").isNotNull()).distinct())
+    if not answer_col:
+        split = F.udf(split_item, "struct<q:string,a:string>", useArrow=True)
+        raw = raw.select("i", split("q").alias("s")).select("i", "s.q", "s.a")
+    scratch = Scratch(benchmark.sparkSession, "decontam")
+    items = scratch.write(raw, "items")
+    stats = _statistics(items)
+    size = items.agg(F.sum(F.octet_length("q") + F.octet_length("a"))).first()[0] or 0
     parts = max(1, math.ceil(size / index_bytes))
-    out = []
-    for p in range(parts):
-        mine = items.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == p).distinct().orderBy("i", "q").collect()
-        out.append([(r["i"], r["q"], r["a"]) if answer_col else (r["i"], *split_item(r["q"])) for r in mine])
-    return out
+
+    def build(t: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("i", "q", "a"))))
+        return pa.table({"index": pa.array([pack(Index(rows, stats))], pa.binary())})
+
+    built = (items.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(parts))).groupBy("part")
+             .applyInArrow(build, "index binary"))
+    out = [bytes(r["index"]) for r in built.toLocalIterator()]
+    scratch.drop("items")
+    return out or [pack(Index([]))]
+
+
+def pack(index: Index) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(index, protocol=5))
+
+
+def unpack(blob: bytes) -> Index:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -262,21 +325,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     pairs; rows of one item id are separate texts under one id; other columns
     are ignored; empty tables give no rows.
 
-    Scale: no shuffle. The index is built from at most ``index_bytes`` of item
-    text; a larger benchmark is searched part by part, each in one scan.
+    Scale: documents are not shuffled. A part of the index holds about
+    ``index_bytes`` of item text, is built in a task and sent to the tasks that
+    search; a larger benchmark is searched part by part, each in one scan, with
+    the statistics of all items, so scores do not depend on the parts. The
+    driver holds the packed parts, about as large as the item text.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = (f"doc_id {d.schema['doc_id'].dataType.simpleString()}, item_id bigint, score double, "
               "overlap double, word_at bigint")
     out = None
-    for part in item_parts(benchmark, item_col, item_text_col, answer_col, index_bytes):
-        found = d.mapInArrow(_finder(Index(part)), schema)
+    for part in index_parts(benchmark, item_col, item_text_col, answer_col, index_bytes):
+        found = d.mapInArrow(_finder(part), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _finder(index: Index):
+def _finder(packed: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = unpack(packed)
         for b in text_blocks(batches):
             rows, keep = [], []
             texts = [t or "" for t in b.column("text").to_pylist()]
@@ -298,15 +365,16 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
                       **kw) -> DataFrame:
     """The rows of ``docs`` that hold no test item; all columns pass through
     one scan per index part, without a join."""
-    parts = item_parts(benchmark, kw.get("item_col", "item_id"), kw.get("item_text_col", "text"),
-                       kw.get("answer_col"), kw.get("index_bytes", INDEX_BYTES))
+    parts = index_parts(benchmark, kw.get("item_col", "item_id"), kw.get("item_text_col", "text"),
+                        kw.get("answer_col"), kw.get("index_bytes", INDEX_BYTES))
     for part in parts:
-        docs = docs.mapInArrow(_keeper(Index(part), text_col), docs.schema)
+        docs = docs.mapInArrow(_keeper(part, text_col), docs.schema)
     return docs
 
 
-def _keeper(index: Index, text_col: str):
+def _keeper(packed: bytes, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = unpack(packed)
         for b in text_blocks(batches, text_col):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             yield b.filter(pa.array([not hits for hits in index.search(texts)], pa.bool_()))

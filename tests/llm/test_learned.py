@@ -219,6 +219,9 @@ def test_contaminated(llm):
     assert got == want
     small = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, index_bytes=9000).collect()}
     assert small == want
+    scores = [{(r.doc_id, r.item_id): round(r.score, 9) for r in decontam.contaminated(docs, bench, index_bytes=n).collect()}
+              for n in (9000, 16 << 20)]
+    assert scores[0] == scores[1]  # statistics of all items, whatever the parts
     kept = decontam.drop_contaminated(docs, bench)
     bad = {i for i, _ in want}
     assert sorted(str(r.doc_id) for r in kept.select("doc_id").collect()) == sorted(
