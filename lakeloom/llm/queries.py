@@ -173,6 +173,32 @@ FROM placed p JOIN tgt t USING (nul, src)
 LEFT JOIN got g ON p.doc_id = g.doc_id AND p.nul = g.nul AND p.src = g.src AND p.shard = g.shard AND p.z0 = g.z0
 """
 
+# texts as two hex digits a byte; every 50-byte string against the smallest
+# document that holds it, spans joined where they overlap or touch
+ORACLE_SQL["op4_suffix_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS own,
+         hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n
+  FROM documents),
+chunks AS (SELECT r, own, n, c, substr(h, 2 * c + 1, 610) AS h
+           FROM d, LATERAL (SELECT unnest(range(0, n - 49, 256)) AS c) WHERE n >= 50),
+s AS (SELECT r, own, c + j AS i, substr(h, 2 * j + 1, 100) AS w
+      FROM chunks, LATERAL (SELECT unnest(range(0, least(256, n - 49 - c))) AS j)),
+f AS (SELECT w, min(own) AS low FROM s GROUP BY w HAVING min(own) < max(own)),
+m AS (SELECT r, i, coalesce(i > 50 + lag(i) OVER (PARTITION BY r ORDER BY i), true)::INT AS opens
+      FROM s JOIN f USING (w) WHERE own > low),
+g AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS k FROM m),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS z FROM g GROUP BY r, k),
+gaps AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM spans),
+cut AS (
+  SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+  FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
 ORACLE_SQL["op5_chat_format"] = r"""
 WITH t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
