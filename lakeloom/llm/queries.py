@@ -122,9 +122,9 @@ WITH sized AS (
 par AS (SELECT greatest(1, least(100000, ceil(count(*) / 4096.0)))::BIGINT AS s FROM sized),
 src AS (SELECT source, nul, src, sum(size)::BIGINT AS ssize FROM sized GROUP BY ALL),
 docs AS (
-  SELECT sized.*, ('0x' || substr(md5('8:' || doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT s FROM par)
+  SELECT sized.*, ('0x' || substr(md5(concat_ws(':', '8', doc_id::VARCHAR)), 1, 8))::BIGINT % (SELECT s FROM par)
                   % greatest(1, least((SELECT s FROM par), ssize // 4096)) AS shard,
-         md5('7:' || doc_id::VARCHAR) AS ord
+         md5(concat_ws(':', '7', doc_id::VARCHAR)) AS ord
   FROM sized JOIN src USING (nul, src)),
 wts AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY nul, src) - 1) % 3 + 1]::DOUBLE AS w,
                2.0::DOUBLE * ssize AS cap FROM src),
@@ -170,7 +170,7 @@ got AS (
 SELECT p.doc_id, p.size, t.ssize AS source_size, CASE WHEN (SELECT t FROM tot) > 0 THEN t.target ELSE 0 END AS target,
        CASE WHEN p.size = 0 THEN 0 ELSE coalesce(g.taken, 0) END::BIGINT AS taken
 FROM placed p JOIN tgt t USING (nul, src)
-LEFT JOIN got g ON p.doc_id = g.doc_id AND p.nul = g.nul AND p.src = g.src AND p.shard = g.shard AND p.z0 = g.z0
+LEFT JOIN got g ON p.doc_id IS NOT DISTINCT FROM g.doc_id AND p.nul = g.nul AND p.src = g.src AND p.shard = g.shard AND p.z0 = g.z0
 """
 
 # texts as two hex digits a byte; every 50-byte string against the smallest
